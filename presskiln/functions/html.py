@@ -18,7 +18,7 @@ DATED_TAGS = (
 )
 JSON_LD = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 JSON_LD_KEYS = ("datePublished", "dateCreated")
-REFUSAL = "access denied"
+REFUSAL = "(?i)access denied"
 REFUSAL_MAX_CHARS = 2000
 WRAPPED_ARTICLE = "/articles/"
 
@@ -26,6 +26,11 @@ WRAPPED_ARTICLE = "/articles/"
 _ANCHOR = (
     r"""(?is)<(?:!--.*?-->|script\b.*?</script>|a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'))"""
 )
+# Everything a date is read from: the tags up to the end of their value, and the scripts.
+_DATED = (
+    r"""(?s)<(?i:(?:meta|time)[^>]+(?:content|datetime)=["'][^"']+["']"""
+    r"""|script[^>]+type=["']application/ld\+json["'][^>]*>.*?</script>)"""
+)
 # JSON texts that count as no value.
 _EMPTY_JSON = ("null", '""', "false", "[]", "{}")
 
@@ -75,24 +80,20 @@ def json_ld_date_text(html: Column) -> Column:
 def published_at(html: Column) -> Column:
     """Publication date: the first readable of the dated tags and the JSON-LD text.
 
-    The plain text tests keep the patterns off pages that cannot match them. The texts are
-    parsed inside one lambda, so the parser is part of the plan once and not per tag.
+    One pass cuts the page down to the few tags that can hold a date; the patterns then run
+    on those. The texts are parsed inside one lambda, so the parser is part of the plan once
+    and not once per tag.
     """
-    lowered = F.lower(html)
-    has_tag = lowered.contains("<meta") | lowered.contains("<time")
-    has_script = lowered.contains("application/ld+json")
-    texts = F.array(
-        *[F.when(has_tag, text) for text in tag_date_texts(html)],
-        F.when(has_script, json_ld_date_text(html)),
-    )
+    dated = F.array_join(F.regexp_extract_all(html, F.lit(_DATED), F.lit(0)), ">")
+    texts = F.array(*tag_date_texts(dated), json_ld_date_text(dated))
     return F.get(F.filter(F.transform(texts, parse_date), F.isnotnull), F.lit(0))
 
 
 def is_access_denied(title: Column, html: Column) -> Column:
     """A refusal page: named so in its title, or short and saying so."""
-    lowered = F.lower(html)
-    return F.coalesce(F.lower(title).contains(REFUSAL), F.lit(False)) | (
-        lowered.contains(REFUSAL) & (F.length(lowered) < REFUSAL_MAX_CHARS)
+    in_title = F.coalesce(title.rlike(REFUSAL), F.lit(False))
+    return in_title | F.coalesce(
+        (F.length(html) < REFUSAL_MAX_CHARS) & html.rlike(REFUSAL), F.lit(False)
     )
 
 

@@ -155,9 +155,9 @@ def _join(base: Column, href: Column) -> Column:
 
 def resolve_against(base_parts: Column, href: Column) -> Column:
     """``resolve_href`` for a base that is split already, once for all links of a page."""
-    joined = _let(clean_url(href), lambda cleaned: _join(base_parts, cleaned))
-    dead = href.isNull() | (href == "") | href.rlike(DEAD_HREF)
-    return F.when(~dead, normalize_url(joined))
+    dead = (href == "") | href.rlike(DEAD_HREF)
+    live = F.when(~dead, clean_url(href))
+    return normalize_url(_let(live, lambda cleaned: F.when(cleaned.isNotNull(), _join(base_parts, cleaned))))
 
 
 def resolve_href(base: Column, href: Column) -> Column:

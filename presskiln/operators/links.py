@@ -37,7 +37,8 @@ def listing_pages(df: DataFrame, url: str, max_pages: int, pattern: str = U.LIST
 def page_hrefs(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every quoted href of every page as ``href``; the page text is dropped at once."""
     rest = [c for c in pages.columns if c != html]
-    return pages.select(*rest, F.explode(H.anchors(F.col(html))).alias("_quoted")).select(
+    quoted = pages.select(*rest, F.explode(H.anchors(F.col(html))).alias("_quoted"))
+    return quoted.where(F.col("_quoted") != "").select(
         *rest, H.unquote_href(F.col("_quoted")).alias("href")
     )
 
