@@ -71,9 +71,8 @@ def normalize_url(url: Column) -> Column:
     step reads only the one before: parts shared by branches would be worked out again in
     every branch.
     """
-    pieces = F.regexp_replace(clean_url(url), _PIECES, "$1$5://$2$6\t$3$7?$4$8")
-    lead = F.substring_index(pieces, "\t", 1)
-    step = F.concat(F.lower(lead), F.substr(pieces, F.length(lead) + 1))
+    pieces = F.split(F.regexp_replace(clean_url(url), _PIECES, "$1$5://$2$6\t$3$7?$4$8"), "\t")
+    step = F.concat(F.lower(F.get(pieces, F.lit(0))), F.lit("\t"), F.get(pieces, F.lit(1)))
     hosted = _any_of(HOST_SCHEMES)
     for pattern, text in (
         ("^:", "https:"),
@@ -84,7 +83,7 @@ def normalize_url(url: Column) -> Column:
         (r"\t", ""),
     ):
         step = F.regexp_replace(step, pattern, text)
-    return F.nullif(step, F.lit(""))
+    return F.get(F.regexp_extract_all(step, F.lit("(?s)^.+"), F.lit(0)), F.lit(0))
 
 
 def _let(value: Column, body) -> Column:

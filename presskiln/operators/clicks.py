@@ -57,6 +57,7 @@ def visited_links(candidates: DataFrame, cap: int | None, pages: int) -> DataFra
     used up, so there is one step per page number for all sources together. A window covers
     the links of one page of one source, which come out of one cell.
     """
+    candidates = candidates.where(F.col("page_no") < pages)
     if cap is not None and cap <= 0:
         return candidates.where(F.lit(False))
     if cap is None:

@@ -61,9 +61,11 @@ def entries_from_lists(direct: DataFrame, meta: DataFrame) -> DataFrame:
         F.when(F.col("type") == SEARCH, terms).alias("terms"),
         enabled,
         frequency,
-        F.when(F.col("type") == SEARCH, normalize_url(build_search_url(first_term)))
-        .when(F.col("url") != "", normalize_url(F.col("url")))
-        .alias("base_url"),
+        normalize_url(
+            F.when(F.col("type") == SEARCH, build_search_url(first_term)).when(
+                F.col("url") != "", F.col("url")
+            )
+        ).alias("base_url"),
     )
     problem = (
         F.when(F.col("base_url").isNull(), "requires a url")
