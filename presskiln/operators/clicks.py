@@ -12,23 +12,28 @@ from presskiln.session import cut_lineage
 _LINK = ["source_seq", "url"]
 
 
-def without_redirect_targets(links: DataFrame) -> DataFrame:
-    """Links minus those that an earlier visited link of the source has already led to.
-
-    ``links`` holds (source_seq, page_no, url, final_url, ok), one row per source and URL.
-    A link counts as visited unless it is dropped itself, so chains of redirects are settled
-    from their start; there is one round per step of the longest chain, none without any.
-    """
+def _led_to(links: DataFrame) -> DataFrame:
+    """Pairs of links of a source of which the later one is where the earlier one leads."""
     at = F.struct("page_no", "url")
     leads = links.where(F.col("ok") & (F.col("final_url") != F.col("url"))).select(
         "source_seq", F.col("url").alias("by"), F.col("final_url").alias("url"), at.alias("_by_at")
     )
-    edges = (
+    return (
         leads.join(links.select(*_LINK, at.alias("_at")), _LINK)
         .where(F.col("_by_at") < F.col("_at"))
         .select("source_seq", "by", "url")
+        .distinct()
     )
-    edges = cut_lineage(edges)
+
+
+def without_redirect_targets(links: DataFrame) -> DataFrame:
+    """Links minus those that an earlier visited link of the source has already led to.
+
+    ``links`` holds (source_seq, page_no, url, final_url, ok). A link counts as visited
+    unless it is dropped itself, so chains of redirects are settled from their start; there
+    is one round per step of the longest chain, none without any.
+    """
+    edges = cut_lineage(_led_to(links))
     dropped = None
     while not edges.isEmpty():
         targets = edges.select("source_seq", F.col("url").alias("by")).distinct()
@@ -60,12 +65,14 @@ def visited_links(candidates: DataFrame, cap: int | None, pages: int) -> DataFra
     candidates = candidates.where(F.col("page_no") < pages)
     if cap is not None and cap <= 0:
         return candidates.where(F.lit(False))
+    candidates = cut_lineage(candidates)
     if cap is None:
         rest = [c for c in candidates.columns if c not in _LINK]
         first = candidates.groupBy(*_LINK).agg(F.min_by(F.struct(*rest), "page_no").alias("_row"))
         links = first.select(*_LINK, "_row.*").select(*candidates.columns)
         return without_redirect_targets(cut_lineage(links))
 
+    redirected = not _led_to(candidates).isEmpty()
     steps: list[DataFrame] = []
     for page_no in range(pages):
         links = candidates.where(F.col("page_no") == page_no)
@@ -81,9 +88,10 @@ def visited_links(candidates: DataFrame, cap: int | None, pages: int) -> DataFra
             links = links.withColumn("_saved", F.lit(0))
         page = Window.partitionBy("source_seq", "page_no").orderBy("url")
         ok_before = F.sum(F.col("ok").cast("int")).over(page.rowsBetween(Window.unboundedPreceding, -1))
+        if redirected:
+            links = without_redirect_targets(links)
         visited = (
-            without_redirect_targets(links)
-            .withColumns(
+            links.withColumns(
                 {"_place": F.row_number().over(page), "_ok_before": F.coalesce(ok_before, F.lit(0))}
             )
             .where(

@@ -49,26 +49,29 @@ def page_links(
     domain: str = U.ARTICLE_DOMAIN,
     marker: str = U.ARTICLE_MARKER,
 ) -> DataFrame:
-    """Distinct article links of every page, resolved against column ``base``."""
+    """Distinct article links of every page row, resolved against column ``base``.
+
+    Links are resolved, tested and made distinct inside the row, before they become rows of
+    their own: there is no shuffle, and a test behind the explode would have Spark resolve
+    each link once more for the pushed-down filter.
+    """
     rest = [c for c in pages.columns if c != "html"]
-    return (
-        page_hrefs(pages.withColumn("_base", U.url_parts(F.col(base))))
-        .select(*rest, U.resolve_against(F.col("_base"), F.col("href")).alias("url"))
-        .where(F.col("url").isNotNull() & U.is_article_url(F.col("url"), domain, marker))
-        .distinct()
-    )
+    hrefs = F.filter(H.anchors(F.col("html")), lambda quoted: quoted != "")
+    resolved = F.transform(hrefs, lambda quoted: U.resolve_against(F.col("_base"), H.unquote_href(quoted)))
+    wanted = F.filter(resolved, lambda url: url.isNotNull() & U.is_article_url(url, domain, marker))
+    split = pages.withColumn("_base", U.url_parts(F.col(base)))
+    return split.select(*rest, F.explode(F.array_distinct(wanted)).alias("url"))
 
 
 def search_result_links(pages: DataFrame) -> DataFrame:
-    """Distinct wrapped article links of search pages."""
+    """Wrapped article links of search pages, distinct over pages with equal other columns."""
     rest = [c for c in pages.columns if c != "html"]
-    return (
-        page_hrefs(pages)
-        .where(F.col("href").contains(H.WRAPPED_ARTICLE))
-        .select(*rest, U.unwrap_href(F.col("href")).alias("url"))
-        .where(F.col("url").isNotNull())
-        .distinct()
+    wrapped = F.filter(
+        H.anchors(F.col("html")), lambda quoted: H.unquote_href(quoted).contains(H.WRAPPED_ARTICLE)
     )
+    urls = F.transform(wrapped, lambda quoted: U.unwrap_href(H.unquote_href(quoted)))
+    known = F.filter(F.array_distinct(urls), F.isnotnull)
+    return pages.select(*rest, F.explode(known).alias("url")).distinct()
 
 
 def search_urls(sources: DataFrame, terms: str = "terms") -> DataFrame:

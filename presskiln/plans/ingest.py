@@ -57,7 +57,7 @@ def plan_results(
     fixed = cut_lineage(R.run_fixed(R.direct_jobs(sources).unionByName(searched), facts, seen))
     taken = fixed.where("ok").groupBy("url").agg(F.min("source_seq").alias("source_seq"))
     found, failed_listings = R.listing_links(sources, facts, snapshots, settings)
-    visited = R.run_listing(cut_lineage(found), facts, seen, taken, settings)
+    visited = R.run_listing(found, facts, seen, taken, settings)
 
     # Search jobs leave alone what a listing source before them visited or was led to.
     touched = visited.select("url", "source_seq").union(
