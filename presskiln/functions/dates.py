@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presskiln.functions.binding import let
+
 # Fixed value: a leading weekday name, which says nothing the date does not.
 _WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+"
-# Date layouts tried, in this order, after the ISO forms that a cast reads.
-# Pieces in brackets may be absent.
-DATE_FORMATS = (
-    "yyyyMMdd['T'HHmmss[X]]",
-    "yyyy/M/d[ HH:mm[:ss]]",
-    "d MMMM yyyy[ HH:mm[:ss]]",
-    "d MMM yyyy[ HH:mm[:ss][ xx][ z]]",
-    "MMMM d[,] yyyy[ h:mm a]",
-    "MMM d[,] yyyy[ h:mm a]",
-    "M/d/yyyy[ HH:mm[:ss]]",
+# Date layouts beyond the ISO forms that a cast reads, each with the shape of a
+# text it may be tried on: a failed try costs far more than the test of a shape. Pieces in
+# brackets may be absent.
+DATE_LAYOUTS = (
+    (r"^\d{8}(?!\d)", "yyyyMMdd['T'HHmmss[X]]"),
+    (r"^\d{4}/", "yyyy/M/d[ HH:mm[:ss]]"),
+    (r"^\d{1,2} [A-Za-z]{3} ", "d MMM yyyy[ HH:mm[:ss][ xx][ z]]"),
+    (r"^\d{1,2} [A-Za-z]{4,} ", "d MMMM yyyy[ HH:mm[:ss][ xx][ z]]"),
+    (r"^[A-Za-z]{3} \d", "MMM d[,] yyyy[ h:mm a]"),
+    (r"^[A-Za-z]{4,} \d", "MMMM d[,] yyyy[ h:mm a]"),
+    (r"^\d{1,2}/\d{1,2}/", "M/d/yyyy[ HH:mm[:ss]]"),
 )
 
 
@@ -25,9 +28,14 @@ def parse_date(text: Column) -> Column:
 
     Text without an offset is read in the session time zone, which is UTC.
     """
-    plain = F.regexp_replace(F.trim(text), _WEEKDAY, "")
-    tries = [F.try_to_timestamp(plain, F.lit(layout)) for layout in DATE_FORMATS]
-    return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), *tries))
+    def read(plain: Column) -> Column:
+        tries = [
+            F.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(layout)))
+            for shape, layout in DATE_LAYOUTS
+        ]
+        return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), *tries))
+
+    return let(F.regexp_replace(F.trim(text), _WEEKDAY, ""), read)
 
 
 def parse_iso(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presskiln.functions.binding import let
 from presskiln.functions.dates import parse_date
 
 # Patterns of the title, of the dated tags in order of preference, of the
@@ -42,8 +43,8 @@ def extract_title(html: Column) -> Column:
 
 
 def tag_date_texts(html: Column) -> list[Column]:
-    """Texts of the dated tags, in order of preference; NULL where a tag is missing."""
-    return [F.nullif(F.regexp_extract(html, tag, 1), F.lit("")) for tag in DATED_TAGS]
+    """Texts of the dated tags, in order of preference; '' where a tag is missing."""
+    return [F.regexp_extract(html, tag, 1) for tag in DATED_TAGS]
 
 
 def json_ld_date_text(html: Column) -> Column:
@@ -52,11 +53,14 @@ def json_ld_date_text(html: Column) -> Column:
     Only the first script counts. The first value that is not empty decides; if it is no
     text there is none.
     """
-    script = F.nullif(F.regexp_extract(html, JSON_LD, 1), F.lit(""))
+    return let(F.trim(F.regexp_extract(html, JSON_LD, 1), F.lit(" \t\r\n")), _date_text_of)
+
+
+def _date_text_of(script: Column) -> Column:
     document = F.try_parse_json(script)
-    items = F.coalesce(
-        F.try_variant_get(document, "$", "array<variant>"), F.array(document)
-    )
+    items = F.when(
+        script.startswith("["), F.try_variant_get(document, "$", "array<variant>")
+    ).when(script.startswith("{"), F.array(document))
     values = F.flatten(
         F.transform(
             items,
@@ -71,9 +75,11 @@ def json_ld_date_text(html: Column) -> Column:
         & ~v.isin(*_EMPTY_JSON)
         & F.coalesce(v.try_cast("double") != 0, F.lit(True)),
     )
-    first = F.get(present, F.lit(0))
-    return F.when(
-        first.startswith('"'), F.try_variant_get(F.try_parse_json(first), "$", "string")
+    return let(
+        F.get(present, F.lit(0)),
+        lambda first: F.when(
+            first.startswith('"'), F.try_variant_get(F.try_parse_json(first), "$", "string")
+        ),
     )
 
 
@@ -85,8 +91,13 @@ def published_at(html: Column) -> Column:
     and not once per tag.
     """
     dated = F.array_join(F.regexp_extract_all(html, F.lit(_DATED), F.lit(0)), ">")
-    texts = F.array(*tag_date_texts(dated), json_ld_date_text(dated))
-    return F.get(F.filter(F.transform(texts, parse_date), F.isnotnull), F.lit(0))
+
+    def first_date(tags: Column) -> Column:
+        texts = F.array(*tag_date_texts(tags), json_ld_date_text(tags))
+        dates = F.filter(F.transform(texts, parse_date), F.isnotnull)
+        return F.when(tags != "", F.get(dates, F.lit(0)))
+
+    return let(dated, first_date)
 
 
 def is_access_denied(title: Column, html: Column) -> Column:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presskiln.functions.binding import let
+
 # Schemes whose last path segment may carry ";parameters".
 PARAMETER_SCHEMES = (
     "", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps", "rtspu",
@@ -86,11 +88,6 @@ def normalize_url(url: Column) -> Column:
     return F.get(F.regexp_extract_all(step, F.lit("(?s)^.+"), F.lit(0)), F.lit(0))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once, however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _fold_dots(path: Column) -> Column:
     """Path without its ``.`` and ``..`` segments."""
     segments = F.split(path, "/", -1)
@@ -127,11 +124,11 @@ def _join(base: Column, href: Column) -> Column:
         target = F.when(own_path.startswith("/"), own_path).otherwise(
             F.regexp_replace(F.concat(folder, own_path), "/+", "/")
         )
-        moved = _let(
+        moved = let(
             target, lambda t: F.when(t.rlike(r"(^|/)\.\.?(/|\z)"), _fold_dots(t)).otherwise(t)
         )
         # Too many ".." take the leading slash along; a host needs it back.
-        moved = _let(
+        moved = let(
             moved, lambda m: F.when((host != "") & ~m.startswith("/"), F.concat(F.lit("/"), m)).otherwise(m)
         )
         return (
@@ -148,7 +145,7 @@ def _join(base: Column, href: Column) -> Column:
     relative = (own_scheme.isin("", scheme)) & scheme.isin(*RELATIVE_SCHEMES)
     nowhere = F.array_join(base, "") == ""
     return F.when(nowhere | ~relative, href).otherwise(
-        _let(F.regexp_replace(href, rf"^(?:{_SCHEME}:)?(?://(?=[/?#]|\z))?", ""), from_here)
+        let(F.regexp_replace(href, rf"^(?:{_SCHEME}:)?(?://(?=[/?#]|\z))?", ""), from_here)
     )
 
 
@@ -156,7 +153,7 @@ def resolve_against(base_parts: Column, href: Column) -> Column:
     """``resolve_href`` for a base that is split already, once for all links of a page."""
     dead = (href == "") | href.rlike(DEAD_HREF)
     live = F.when(~dead, clean_url(href))
-    return normalize_url(_let(live, lambda cleaned: F.when(cleaned.isNotNull(), _join(base_parts, cleaned))))
+    return normalize_url(let(live, lambda cleaned: F.when(cleaned.isNotNull(), _join(base_parts, cleaned))))
 
 
 def resolve_href(base: Column, href: Column) -> Column:
