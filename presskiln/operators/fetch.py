@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.functions import html as H
 from presskiln.functions.content import content_hash
 from presskiln.functions.urls import normalize_url
+from presskiln.operators.skew import join_splittable
 
 # Outcomes of a job and the reason texts of the failed ones.
 OK, DENIED, MISSING = "ok", "denied", "missing"
@@ -17,6 +18,11 @@ MISSING_TEXT = "no snapshot"
 DENIED_TEXT = "Site blocked automated access"
 
 
+def _moment(column: str) -> Column:
+    """Time of a snapshot; one without a time is the oldest, and still equal to itself."""
+    return F.coalesce(column, F.timestamp_seconds(F.lit(0)))
+
+
 def page_facts(snapshots: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """What the pipeline needs to know of a page, without its text.
 
@@ -29,7 +35,7 @@ def page_facts(snapshots: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *keep,
         normalize_url(F.col("url")).alias("url"),
         F.col("url").alias("snapshot_url"),
-        "fetched_at",
+        _moment("fetched_at").alias("fetched_at"),
         normalize_url(F.coalesce("final_url", "url")).alias("final_url"),
         title.alias("title"),
         H.published_at(F.col("html")).alias("published_at"),
@@ -57,7 +63,7 @@ def one_per_url(facts: DataFrame, latest: bool = True) -> DataFrame:
 
 def fetch(jobs: DataFrame, facts: DataFrame) -> DataFrame:
     """Jobs with the facts of their page, an ``outcome`` and the ``error`` of failed ones."""
-    found = jobs.join(facts.withColumn("_found", F.lit(True)), "url", "left")
+    found = join_splittable(jobs, facts.withColumn("_found", F.lit(True)), "url", "left")
     outcome = (
         F.when(F.col("_found").isNull(), MISSING).when(F.col("denied"), DENIED).otherwise(OK)
     )
@@ -68,17 +74,16 @@ def fetch(jobs: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def page_texts(chosen: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Text of chosen pages (``snapshot_url``, ``fetched_at``, ``content_hash``) as ``html``.
+    """Rows of ``chosen`` with the text of their page as ``html``.
 
-    Few chosen pages are broadcast by Spark and the texts stay where they are read; for
-    many, the texts are shuffled once, by snapshot.
+    ``chosen`` names pages by ``snapshot_url``, ``fetched_at`` and ``content_hash``. Few
+    chosen pages are broadcast by Spark and the texts stay where they are read; for many,
+    the texts are shuffled once, by snapshot. Equal snapshots have landed in one partition
+    then, so dropping all but one of them takes no further shuffle.
     """
     texts = snapshots.select(
-        F.col("url").alias("_url"), F.col("fetched_at").alias("_fetched_at"), "html"
-    )
-    same = (F.col("snapshot_url") == F.col("_url")) & F.col("fetched_at").eqNullSafe(F.col("_fetched_at"))
-    return (
-        chosen.join(texts, same)
-        .where(content_hash(F.col("html")) == F.col("content_hash"))
-        .drop("_url", "_fetched_at")
+        F.col("url").alias("snapshot_url"), _moment("fetched_at").alias("fetched_at"), "html"
     )
+    found = chosen.join(texts, ["snapshot_url", "fetched_at"])
+    same = found.where(content_hash(F.col("html")) == F.col("content_hash"))
+    return same.dropDuplicates(chosen.columns).select(*chosen.columns, "html")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presskiln.functions.urls import normalize_url
 from presskiln.operators.ranking import top_n
+from presskiln.operators.skew import join_splittable
 
 
 def seen_urls(articles: DataFrame) -> DataFrame:
@@ -15,12 +16,13 @@ def seen_urls(articles: DataFrame) -> DataFrame:
 
 
 def url_exists(jobs: DataFrame, articles: DataFrame) -> DataFrame:
-    return jobs.join(articles.select("url"), "url", "left_semi")
+    return join_splittable(jobs, seen_urls(articles), "url", "left_semi")
 
 
 def skip_seen(jobs: DataFrame, seen: DataFrame) -> DataFrame:
     """Jobs whose URL is not in ``seen``; rescraped jobs always stay."""
-    kept = jobs.join(seen.select("url", F.lit(True).alias("_seen")).distinct(), "url", "left")
+    marked = seen.select("url").distinct().withColumn("_seen", F.lit(True))
+    kept = join_splittable(jobs, marked, "url", "left")
     return kept.where(F.col("allow_rescrape") | F.col("_seen").isNull()).select(*jobs.columns)
 
 
@@ -40,7 +42,7 @@ def first_success_wins(jobs: DataFrame, ok: str = "ok", order: str = "job_seq")
         jobs.where(F.col(ok)).groupBy("url").agg(F.min(order).alias("_first_ok"))
     )
     return (
-        jobs.join(first, "url", "left")
+        join_splittable(jobs, first, "url", "left")
         .where(
             F.col("allow_rescrape")
             | F.col("_first_ok").isNull()
@@ -57,7 +59,7 @@ def limit_per_source(jobs: DataFrame, n: int | None, source: str = "source_id")
 
 def first_unseen(links: DataFrame, seen: DataFrame, page: str) -> DataFrame:
     """Lowest URL of every page that is not seen yet."""
-    fresh = links.join(seen.select("url"), "url", "left_anti")
+    fresh = join_splittable(links, seen.select("url"), "url", "left_anti")
     return fresh.groupBy(page).agg(F.min("url").alias("url"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.operators import fetch, jobs, ranking, registry, runs
+from presskiln.operators.skew import join_splittable
 from presskiln.plans import runs as R
 from presskiln.plans.articles import article_rows
 from presskiln.session import cut_lineage, tune
@@ -65,7 +66,7 @@ def plan_results(
     )
     touched = touched.groupBy("url").agg(F.min("source_seq").alias("_touched_by"))
     fixed = (
-        fixed.join(touched, "url", "left")
+        join_splittable(fixed, touched, "url", "left")
         .where(
             F.col("allow_rescrape")
             | F.col("_touched_by").isNull()
@@ -144,14 +145,10 @@ def ingest(
         plan_results(active, snapshots, redirects, jobs.seen_urls(articles), settings)
     )
     saved = results.where(F.col("error").isNull())
-    chosen = saved.groupBy("source_id", "content_hash").agg(
-        F.min(F.struct("snapshot_url", "fetched_at")).alias("at")
-    )
-    texts = fetch.page_texts(chosen.select("source_id", "content_hash", "at.*"), snapshots)
     parts = cut_lineage(runs.error_parts(results))
     closing = runs.run_outcomes(active, results).join(runs.error_texts(parts), "run_id", "left")
     store.commit(
-        stage_raw_html(store, texts, now, batch),
+        stage_raw_html(store, saved, snapshots, now, batch),
         store.stage("articles", article_rows(saved, ["job_seq"], now, articles), batch),
         store.stage("run_error_parts", parts, batch),
         store.stage("scrape_runs", runs.finish_runs(opened, closing, now), attempt, rev=1),

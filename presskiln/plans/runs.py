@@ -111,18 +111,15 @@ def run_listing(
     first to do so: later listing sources do not visit them. A link on the pages of several
     sources belongs to the first of them.
     """
-    fresh = found.join(seen.select("url"), "url", "left_anti")
+    # One row per URL from here to the last join: a link that is on most pages is combined
+    # into its owner before any join on the URL.
+    owner = found.groupBy("url").agg(F.min("source_seq").alias("source_seq"))
+    owner = owner.join(seen.select("url"), "url", "left_anti")
     if taken is not None:
         first = taken.select("url", F.col("source_seq").alias("_taken_by"))
-        fresh = (
-            fresh.join(first, "url", "left")
-            .where(F.col("_taken_by").isNull() | (F.col("_taken_by") >= F.col("source_seq")))
-            .drop("_taken_by")
+        owner = owner.join(first, "url", "left").where(
+            F.col("_taken_by").isNull() | (F.col("_taken_by") >= F.col("source_seq"))
         )
-    owner = fresh.groupBy("url").agg(F.min("source_seq").alias("source_seq"))
-    owned = fresh.join(owner, ["url", "source_seq"], "left_semi")
+    owned = found.join(owner.select("url", "source_seq"), ["url", "source_seq"], "left_semi")
     candidates = fetch.fetch(owned, facts).withColumn("ok", F.col("outcome") == fetch.OK)
-    visited = clicks.visited_links(
-        candidates, settings.max_articles, settings.max_listing_pages
-    )
-    return visited
+    return clicks.visited_links(candidates, settings.max_articles, settings.max_listing_pages)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.functions.content import raw_path
+from presskiln.operators.fetch import page_texts
 from presskiln.sources.store import ArticleStore
 
 KEY = ["source_id", "scrape_date", "content_hash"]
@@ -21,34 +22,35 @@ def raw_keys(pages: DataFrame, scraped_at: Column) -> DataFrame:
     )
 
 
-def new_raw_rows(pages: DataFrame, stored: DataFrame) -> DataFrame:
-    """Pages to be added: one per key, none that is stored.
+def pages_to_store(saved: DataFrame, stored: DataFrame, scraped_at: Column) -> DataFrame:
+    """One snapshot per key that is not stored yet, still without its text.
 
-    Equal keys mean equal text, so leaving a stored row alone is the same as writing it
-    again. Copies are dropped inside each task before the shuffle, so content that a third
-    of all pages share sends one row per task.
+    Equal keys mean equal text, so leaving a stored page alone is the same as writing it
+    again. The aggregate is combined before its shuffle: content that a third of all pages
+    share sends one narrow row per task.
     """
-    fresh = pages.dropDuplicates(KEY)
-    return fresh.join(stored.select(*KEY), KEY, "left_anti")
+    day = F.to_date(scraped_at)
+    chosen = saved.groupBy("source_id", "content_hash").agg(
+        F.min(F.struct("snapshot_url", "fetched_at")).alias("at")
+    )
+    dated = chosen.select("source_id", day.alias("scrape_date"), "content_hash", "at.*")
+    return dated.join(stored.select(*KEY), KEY, "left_anti")
 
 
-def stage_raw_html(store: ArticleStore, pages: DataFrame, scraped_at: Column, batch: str) -> tuple:
-    """Write new pages by day, in files clustered by source.
+def stage_raw_html(
+    store: ArticleStore, saved: DataFrame, snapshots: DataFrame, scraped_at: Column, batch: str
+) -> tuple:
+    """Write the pages of ``saved`` that are new, by day.
 
-    The rebalance splits the partitions of a source that outgrows the others and joins the
-    small ones. Rows are sorted by source inside a file, so a reader of one source skips the
-    row groups of the rest; a folder per source would mean millions of small files.
+    What is written is settled on keys first; only then are texts fetched, once. A folder per
+    source would mean millions of small files: rows are sorted by source inside a file
+    instead, so a reader of one source skips the row groups of the others, and a source of
+    any size is spread over all files.
     """
-    day = F.to_date(scraped_at)
-    dated = pages.select(
-        "source_id",
-        day.alias("scrape_date"),
-        "content_hash",
-        raw_path(F.col("source_id"), day, F.col("content_hash")).alias("s3_raw_html_path"),
-        "html",
-    )
-    stored = store.read("raw_html").where(F.col("scrape_date") == day)
-    rows = new_raw_rows(dated, stored).hint("rebalance", "scrape_date", "source_id")
+    stored = store.read("raw_html").where(F.col("scrape_date") == F.to_date(scraped_at))
+    texts = page_texts(pages_to_store(saved, stored, scraped_at), snapshots)
+    path = raw_path(F.col("source_id"), F.col("scrape_date"), F.col("content_hash"))
+    rows = texts.withColumn("s3_raw_html_path", path)
     return store.stage(
         "raw_html", rows.sortWithinPartitions("scrape_date", "source_id"), batch, by=["scrape_date"]
     )

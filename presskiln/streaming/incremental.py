@@ -35,9 +35,7 @@ def ingest_snapshots(arrived: DataFrame, store: ArticleStore, run_ts: datetime,
     fresh = fetch.one_per_url(facts, latest=False).join(jobs.seen_urls(articles), "url", "left_anti")
     fresh = cut_lineage(fresh)
     rows = store.stage("articles", article_rows(fresh, ["source_id", "url"], now, articles), batch)
-    chosen = fresh.select("source_id", "snapshot_url", "fetched_at", "content_hash")
-    texts = fetch.page_texts(chosen, arrived.drop("source_id"))
-    store.commit(rows, stage_raw_html(store, texts, now, batch))
+    store.commit(rows, stage_raw_html(store, fresh, arrived, now, batch))
 
 
 def start(
