@@ -75,7 +75,7 @@ def resolve_redirects(wrapped: DataFrame, redirects: DataFrame, dropped_text: st
     final = redirects.select("url", normalize_url(F.col("final_url")).alias("_final"))
     rest = [c for c in wrapped.columns if c != "url"]
     return (
-        wrapped.join(final, "url")
+        join_splittable(wrapped, final, "url", "inner")
         .where(F.col("_final").isNotNull() & ~F.col("_final").contains(dropped_text))
         .select(*rest, F.col("_final").alias("url"))
         .distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presskiln.functions import html as H
 from presskiln.functions import urls as U
+from presskiln.operators.skew import join_splittable
 
 
 def listing_pages(df: DataFrame, url: str, max_pages: int, pattern: str = U.LISTING_PAGE) -> DataFrame:
@@ -95,7 +96,7 @@ def reachable(pages: DataFrame, links: DataFrame, group: str, start: Column) ->
         F.min(F.when((F.col("n_links") == 0) & ~start, F.col("page_no"))).alias("end_page")
     )
     return (
-        counted.join(ends, group)
+        join_splittable(counted, ends, group, "inner")
         .where(F.col("end_page").isNull() | (F.col("page_no") < F.col("end_page")))
         .drop("end_page")
     )

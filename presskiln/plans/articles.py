@@ -15,7 +15,8 @@ def article_rows(
     saved: DataFrame, order: Sequence[str], scraped_at: Column, articles: DataFrame | None = None
 ) -> DataFrame:
     """Article rows of saved pages with ids that go on from ``articles``, in ``order``."""
-    numbered = with_next_ids(saved, order, "article_id", articles)
+    needed = dict.fromkeys(["source_id", "url", "title", "published_at", "content_hash", *order])
+    numbered = with_next_ids(saved.select(*needed), order, "article_id", articles)
     day = F.to_date(scraped_at)
     return numbered.select(
         "article_id",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from presskiln.functions.urls import ARTICLE_DOMAIN, ARTICLE_MARKER
 from presskiln.operators import clicks, fetch, jobs, links
 from presskiln.operators.registry import DIRECT, LISTING, SEARCH
+from presskiln.session import cut_lineage
 
 RUN = ["source_seq", "run_id", "source_id"]
 ORDER = ["source_seq", "page_no", "url"]
@@ -111,6 +112,8 @@ def run_listing(
     first to do so: later listing sources do not visit them. A link on the pages of several
     sources belongs to the first of them.
     """
+    # Links come out of page texts and are needed twice; they are narrow, the texts are not.
+    found = cut_lineage(found)
     # One row per URL from here to the last join: a link that is on most pages is combined
     # into its owner before any join on the URL.
     owner = found.groupBy("url").agg(F.min("source_seq").alias("source_seq"))
