@@ -54,7 +54,8 @@ def build_articles(spark, folder):
 
 
 def raw_html_keys(spark, folder):
-    return raw_html.raw_keys(_saved_pages(spark, folder), T.run_ts())
+    keys = raw_html.raw_keys(_saved_pages(spark, folder), T.run_ts())
+    return keys.withColumn("scrape_date", F.date_format("scrape_date", "yyyy-MM-dd"))
 
 
 def append_articles(spark, folder):
@@ -212,7 +213,7 @@ ORACLES = {
   NULL::TIMESTAMP AS published_at, TIMESTAMP '{Q.RUN_TS}' AS scraped_at, content_hash,
   {Q.raw_path('source_id', 'content_hash')} AS s3_raw_html_path, NULL::VARCHAR AS s3_text_path FROM saved""",
     "raw_html_keys": Q.with_(Q.HOSTS, Q.SNAPSHOTS, _SAVED)
-    + f"""SELECT DISTINCT source_id, DATE '{Q.RUN_TS[:10]}' AS scrape_date, content_hash,
+    + f"""SELECT DISTINCT source_id, '{Q.RUN_TS[:10]}' AS scrape_date, content_hash,
   {Q.raw_path('source_id', 'content_hash')} AS s3_raw_html_path FROM saved""",
     "append_articles": f"""
 SELECT page_id AS article_id, url, {Q.title('html')} AS title, NULL::VARCHAR AS content_hash FROM pages WHERE starts_with(url, 'https:')

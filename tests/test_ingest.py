@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 
 from presskiln.plans.ingest import ingest
-from presskiln.schemas import REDIRECTS, SNAPSHOTS
+from presskiln.schemas import REDIRECTS, SCRAPE_RUNS, SNAPSHOTS
 from presskiln.sources.files import read_registry
 from presskiln.sources.store import ArticleStore
 
@@ -112,3 +112,25 @@ def test_two_runs(world):
     ]
     assert [r.run_id for r in store.read("scrape_runs").orderBy("run_id").collect()] == [1, 2, 3, 4, 5, 6]
     assert store.read("sources").count() == 4
+
+
+def test_writes_become_visible_by_commit_only(spark, tmp_path):
+    store = ArticleStore(spark, str(tmp_path / "store"))
+
+    def runs(*ids, status="running"):
+        return spark.createDataFrame([(i, 1, None, None, status, None) for i in ids], SCRAPE_RUNS)
+
+    def seen():
+        return sorted((r.run_id, r.status) for r in store.read("scrape_runs").collect())
+
+    first = store.stage("scrape_runs", runs(1, 2), "a")
+    assert seen() == []
+    store.commit(first)
+    store.stage("scrape_runs", runs(9), "lost")
+    assert seen() == [(1, "running"), (2, "running")]
+    store.commit(store.stage("scrape_runs", runs(1, 2, status="success"), "a", rev=1))
+    store.commit(store.stage("scrape_runs", runs(3), "b"))
+    assert seen() == [(1, "success"), (2, "success"), (3, "running")]
+    assert store.is_committed("b", "scrape_runs") and not store.is_committed("lost", "scrape_runs")
+    store.commit(store.stage("scrape_runs", runs(4), "c", whole=True))
+    assert seen() == [(4, "running")]

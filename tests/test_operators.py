@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from presskiln import schemas
 from presskiln.operators import clicks, fetch, jobs, links, ranking, registry, runs, updates
+from presskiln.plans.runs import collect_article_urls
 from presskiln.sources.files import read_csv, read_registry, write_csv
 
 
@@ -117,6 +118,12 @@ def test_pagination_stop(spark):
     assert values(got, "s", "page_no", "n_links") == [(1, 0, 1), (1, 1, 1), (2, 0, 0), (2, 1, 1), (3, 0, 1)]
 
 
+def test_links_of_a_listing_end_with_its_pages(spark):
+    pages = spark.createDataFrame([(1, p) for p in range(4)], "source_seq int, page_no int")
+    found = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (1, 1, "a"), (1, 3, "d")], "source_seq int, page_no int, url string")
+    assert values(collect_article_urls(found, pages).select("url").distinct(), "url") == [("a",), ("b",)]
+
+
 def test_seen_filters(spark):
     found = spark.createDataFrame([("a", False), ("a", True), ("b", False), ("c", False)], "url string, allow_rescrape boolean")
     stored = spark.createDataFrame([("a",), ("a",), ("c",), ("",), (None,)], "url string")
