@@ -1,8 +1,14 @@
 """Operators of a training-data pipeline, their queries, and SQL where SQL can express them."""
 
 from presskiln.llm.packing import op9_packing
+from presskiln.llm.pii import op3_pii
 from presskiln.llm.token_counts import op6_token_counts
 from presskiln.llm.token_files import op1_token_files
+from presskiln.llm.warc import op5_warc
+from presskiln.llm.winnowing import op7_decontamination
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op6_token_counts, op9_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_files, op3_pii, op5_warc, op6_token_counts, op7_decontamination, op9_packing)
+}
 ORACLES: dict[str, str] = {}

@@ -11,10 +11,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = "presskiln"
+# Bytes of text of which a task holds the result at a time, besides the batch it comes in.
+ENCODED_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -65,6 +68,11 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def sizes_of(column: pa.Array) -> list[int]:
+    """Bytes of each value; null has none."""
+    return pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+
+
 def in_pieces(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Index ranges over rows of the given sizes, each of about ``most`` bytes, at least one row."""
     begin, total, at = 0, 0, 0
