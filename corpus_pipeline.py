@@ -4,17 +4,55 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from presskiln.llm.common import written
+from presskiln.llm.ngram_join import keep_one
 from presskiln.llm.packing import pack
+from presskiln.llm.pii import find_pii
+from presskiln.llm.quality import score, train
+from presskiln.llm.winnowing import find_leaks
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, model).where("score >= 0.5").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks.where("n_hit = 0").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by the names of its kinds."""
+    found = find_pii(docs).withColumn("text", F.col("redacted"))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
+    return found.select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    """Pieces of token sequences, with their ids (16-bit, little-endian)."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
+# Classifier, hashes of n-grams and tokens cannot be written in SQL: see tests/llm.
 ORACLE_SQL = None
 
 
