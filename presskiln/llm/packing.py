@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import ship, written
+from presskiln.llm.common import ENCODED_BYTES, in_pieces, ship, sizes_of, written
 from presskiln.llm.tokens import WordEncoder, encoder
 
 SEQUENCE = 4096
@@ -107,7 +107,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, keep_ids: bool = True
 
     def first(batches):
         context = TaskContext.get()
-        encode = encoder(WordEncoder, tokenizer).encode
+        encode_all = encoder(WordEncoder, tokenizer).encode_all
         end = np.array([end_id], np.uint16).tobytes()
         packer = Packer()
         base = context.partitionId() << 36
@@ -115,12 +115,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, keep_ids: bool = True
         def full():
             made = 0
             for batch in batches:
-                for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                    ids = np.frombuffer((encode(text.as_py()) if text.is_valid else b"") + end, "<u2")
-                    for piece in pieces_of(doc_id, ids, keep_ids):
-                        if (window := packer.add(piece, piece[2])) is not None:
-                            yield base + made, window
-                            made += 1
+                doc_ids = batch["doc_id"].to_pylist()
+                for begin, stop in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
+                    texts = [t or "" for t in batch["text"].slice(begin, stop - begin).to_pylist()]
+                    for doc_id, data in zip(doc_ids[begin:stop], encode_all(texts), strict=True):
+                        for piece in pieces_of(doc_id, np.frombuffer(data + end, "<u2"), keep_ids):
+                            if (window := packer.add(piece, piece[2])) is not None:
+                                yield base + made, window
+                                made += 1
 
         yield from _rows(full())
         yield from _rows((-1 - (base + k), w) for k, w in enumerate(packer.close()))

@@ -27,7 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import filesystem, frame_bytes, framed, shared_folder, ship, written
+from presskiln.llm.common import (
+    ENCODED_BYTES, filesystem, frame_bytes, framed, in_pieces, shared_folder, ship, sizes_of, written,
+)
 from presskiln.llm.tokens import ByteEncoder, encoder
 
 # Magic numbers of the zstandard seekable format and of a skippable frame.
@@ -135,16 +137,19 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
     def write(batches):
         context = TaskContext.get()
-        encode = encoder(ByteEncoder, tokenizer).encode
+        encode_all = encoder(ByteEncoder, tokenizer).encode_all
         end = np.array([end_id], np.uint16).tobytes()
         store, root = filesystem(folder)
         store.create_dir(root, recursive=True)
         path = f"{root}/{context.partitionId():06d}-{context.taskAttemptId()}.tok"
-        with store.open_output_stream(path) as out:
+        with store.open_output_stream(path, compression=None) as out:
             writer = TokenWriter(out)
             for batch in batches:
-                for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                    writer.add(doc_id, (encode(text.as_py()) if text.is_valid else b"") + end)
+                doc_ids = batch["doc_id"].to_pylist()
+                for begin, stop in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
+                    texts = [t or "" for t in batch["text"].slice(begin, stop - begin).to_pylist()]
+                    for doc_id, ids in zip(doc_ids[begin:stop], encode_all(texts), strict=True):
+                        writer.add(doc_id, ids + end)
             writer.close()
             size = out.tell()
         tokens = sum(d[4] for d in writer.docs)

@@ -10,8 +10,12 @@ import re
 
 import numpy as np
 
+from presskiln.llm.common import in_pieces
+
 # Chunks of each of two generations of the cache: the older one goes when the newer is full.
-GENERATION = 300_000
+GENERATION = 500_000
+# Unknown chunks in one call's text, and characters of text whose chunks are looked up together.
+JOINED, PIECE_CHARS = 100, 1 << 20
 _ENCODERS: dict = {}
 
 
@@ -42,48 +46,82 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
-class ByteEncoder:
-    """Byte-level BPE whose pre-tokens may begin with one blank.
+class _ChunkEncoder:
+    """Ids of chunks from the library, several thousand unknown ones in a few calls.
 
-    A single blank between two characters that are no white space begins a pre-token: runs of
-    white space are the only pre-tokens with a blank inside, and this blank is no such run. Texts
-    with longer runs are cut by a pattern that finds just these blanks.
+    Unknown chunks are joined by a special token of the vocabulary, at which the library cuts a
+    text before anything else; chunks that hold a special token's text are encoded one by one.
     """
 
-    _run = re.compile(r"\s\s")
-    _cut = re.compile(r"(?<=\S)(?= \S)")
-
     def __init__(self, path: str):
         self.library = _library(path)
-        self.chunks = Cache(self._ids)
-        self.later = Cache(lambda part: self._ids(" " + part))
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.mark, self.mark_id = next(iter(special.items()))
+        self.special = tuple(special)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _ids(self, chunk: str) -> bytes:
+    def _one(self, chunk: str) -> bytes:
         return np.array(self.library.encode(chunk, add_special_tokens=False).ids, np.uint16).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 16-bit integers (the vocabulary is that small)."""
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.known) > GENERATION:
+            self.older, self.known = self.known, {}
+        known, older, new = self.known, self.older, []
+        for chunk in chunks:
+            if chunk not in known:
+                if chunk in older:
+                    known[chunk] = older[chunk]
+                elif any(s in chunk for s in self.special):
+                    known[chunk] = self._one(chunk)
+                else:
+                    new.append(chunk)
+        groups = [new[k : k + JOINED] for k in range(0, len(new), JOINED)]
+        joined = [self.mark.join(g) for g in groups]
+        for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.uint16)
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+            data, begin = ids.tobytes(), 0
+            for chunk, end in zip(group, ends, strict=True):
+                known[chunk] = data[2 * begin : 2 * end]
+                begin = end + 1
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 16-bit integers."""
+        out: list[bytes] = []
+        for begin, end in in_pieces(map(len, texts), PIECE_CHARS):
+            cut = [self.cut(t) for t in texts[begin:end]]
+            self._learn(set().union(*cut))
+            known = self.known.__getitem__
+            out += [b"".join(map(known, chunks)) for chunks in cut]
+        return out
+
+
+class ByteEncoder(_ChunkEncoder):
+    """Byte-level BPE whose pre-tokens may begin with one blank.
+
+    A single white-space character between two others begins a pre-token: runs are the only
+    pre-tokens with white space inside, a blank belongs to what follows and a line end stands
+    alone. Texts with longer runs are cut only at the blanks a pattern finds.
+    """
+
+    _run = re.compile(r"\s\s")
+    _cut = re.compile(r"(?<=\S)(?= \S)")
+
+    def cut(self, text: str) -> list[str]:
         if self._run.search(text):
-            return b"".join(map(self.chunks.__getitem__, self._cut.split(text)))
-        first, *rest = text.split(" ")
-        return self.chunks[first] + b"".join(map(self.later.__getitem__, rest))
+            return self._cut.split(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else self._cut.split(text)
 
 
-class WordEncoder:
+class WordEncoder(_ChunkEncoder):
     """BPE whose pre-tokens hold no white space, which is dropped: every blank is a cut.
 
     Normal form and lower case do not look across a blank either.
     """
 
-    def __init__(self, path: str):
-        self.library = _library(path)
-        self.chunks = Cache(self._ids)
-
-    def _ids(self, chunk: str) -> bytes:
-        return np.array(self.library.encode(chunk, add_special_tokens=False).ids, np.uint16).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+    def cut(self, text: str) -> list[str]:
+        return text.replace("\n", " ").split(" ")
 
 
 def encoder(kind: type, path: str):
