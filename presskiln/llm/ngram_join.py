@@ -20,6 +20,9 @@ PERCENT = 75
 FREQUENT = 1 << 20
 # Vertical fragments: two ranges of the n-grams in hash order, two of the frequent ones.
 FRAGMENTS = 4
+# Classes of a group that all others of it are compared with, before the pairs that are left.
+HUBS = 16
+GROUPS = "grp long, cls long, n long, inner boolean, a long, a_n long, b long, b_n long"
 # What stands for a null doc_id in keys.
 NO_ID = -(1 << 63)
 POSTING_BYTES, BLOCK_BYTES = 32 << 20, 16 << 20
@@ -82,10 +85,17 @@ class Order:
 
 
 def prefix_size(n: int) -> int:
-    """Two linked sets share one of so many first elements in any common order."""
+    """A set of n elements shares one of so many first ones, in any common order, with every set
+    that it is linked to."""
     return n - -(-PERCENT * n // 100) + 1
 
 
+def inner_size(n: int) -> int:
+    """So many first elements are enough where the other set is no smaller: behind the first
+    shared element there must be room for all that a link of two such sets needs."""
+    return n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1
+
+
 def _text_key() -> list[Column]:
     return [F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_text")]
 
@@ -165,6 +175,8 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
             sizes = np.array([len(p) for _, _, p in held], np.int64)
             owner = np.repeat(np.arange(len(held)), sizes)
             place = np.concatenate([p for _, _, p in held])
+            at = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            inner = at < np.array([inner_size(n) for _, n, _ in held])[owner]
             bucket = (mix(place) % np.uint64(buckets)).astype(np.int64)
             turn = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[turn], np.arange(buckets + 1))
@@ -174,7 +186,7 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
                 own = turn[cut[k] : cut[k + 1]]
                 who = owner[own]
                 ids.append(k)
-                cells.append(frame_bytes([place[own], cls[who], n[who].astype(np.int32)]))
+                cells.append(frame_bytes([place[own], cls[who], n[who].astype(np.int32), inner[own]]))
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.binary())], ["bucket", "blob"])
 
         for batch in batches:
@@ -185,7 +197,7 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
                     if len(shingles) and name not in classes:
                         classes.add(name)
                         k = prefix_size(len(shingles))
-                        held.append((name, len(shingles), np.partition(order.value.places(shingles), k - 1)[:k]))
+                        held.append((name, len(shingles), np.sort(np.partition(order.value.places(shingles), k - 1)[:k])))
                         size += k
                 if size > 1 << 20:
                     yield flushed()
@@ -197,26 +209,45 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
 
 
 def _groups(table: pa.Table) -> pa.Table:
-    """Classes that share an n-gram of their prefixes: one group for each distinct set of them."""
-    parts = [framed(b, ("<u8", "<i8", "<i4")) for b in table["blob"].to_pylist()]
-    place, cls, n = (np.concatenate(c) for c in zip(*parts, strict=True))
-    turn = np.lexsort((cls, place))
-    place, cls, n = place[turn], cls[turn], n[turn]
+    """Classes that share an n-gram of their prefixes: one group for each distinct set of them.
+
+    A group needs an ``inner`` class. Up to HUBS of these, the same in all groups as far as can
+    be, are paired with the others of their group, as far as sizes and places allow a link. Rows
+    of members (grp, cls, n, inner) come first, then pairs (a, a_n, b, b_n).
+    """
+    parts = [framed(b, ("<u8", "<i8", "<i4", "?")) for b in table["blob"].to_pylist()]
+    place, cls, n, inner = (np.concatenate(c) for c in zip(*parts, strict=True))
+    turn = np.lexsort((cls, ~inner, place))
+    place, cls, n, inner = place[turn], cls[turn], n[turn], inner[turn]
     new = np.ones(len(place), bool)
     new[1:] = (place[1:] != place[:-1]) | (cls[1:] != cls[:-1])
-    place, cls, n = place[new], cls[new], n[new]
+    place, cls, n, inner = place[new], cls[new], n[new], inner[new]
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     sizes = np.diff(np.append(first, len(place)))
     with np.errstate(over="ignore"):
-        group = mix(np.add.reduceat(mix(cls.astype(np.uint64)), first) + sizes.astype(np.uint64))
+        group = mix(np.add.reduceat(mix(cls.astype(np.uint64) ^ inner.astype(np.uint64)), first) + sizes.astype(np.uint64))
     _, one = np.unique(group, return_index=True)
-    one = one[sizes[one] > 1]
-    total = int(sizes[one].sum())
-    begins = np.cumsum(sizes[one]) - sizes[one]
-    at = np.repeat(first[one] - begins, sizes[one]) + np.arange(total)
-    hub = np.repeat(first[one], sizes[one])
-    columns = (np.repeat(group[one], sizes[one]).astype(np.int64), cls[at], n[at].astype(np.int64), cls[hub], n[hub].astype(np.int64))
-    return pa.table(dict(zip(("grp", "cls", "n", "hub", "hub_n"), map(pa.array, columns), strict=True)))
+    one = one[(sizes[one] > 1) & inner[first[one]]]
+    first, sizes = first[one], sizes[one]
+    begins = np.cumsum(sizes) - sizes
+    at = np.repeat(first - begins, sizes) + np.arange(int(sizes.sum()))
+    start = np.repeat(first, sizes)
+    met = []
+    for k in range(HUBS):
+        hub = start + k
+        later = at > hub
+        i, j = hub[later], at[later]
+        small, large = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
+        fits = inner[i] & (inner[j] | (n[i] < n[j])) & (100 * small >= PERCENT * large)
+        met.append((i[fits], j[fits]))
+    i, j = (np.concatenate(c) for c in zip(*met, strict=True))
+    swap = cls[i] > cls[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    once = np.unique(np.stack([cls[i], cls[j]], 1), axis=0, return_index=True)[1] if len(i) else np.zeros(0, np.int64)
+    i, j = i[once], j[once]
+    members = pa.table({"grp": np.repeat(group[one], sizes).astype(np.int64), "cls": cls[at], "n": n[at].astype(np.int64), "inner": inner[at]})
+    pairs = pa.table({"a": cls[i], "a_n": n[i].astype(np.int64), "b": cls[j], "b_n": n[j].astype(np.int64)})
+    return pa.concat_tables([members, pairs], promote_options="default")
 
 
 def _alike(one: str, two: str) -> Column:
@@ -310,19 +341,19 @@ def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     volume = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(2 * parts, 5 * volume // POSTING_BYTES)  # a quarter of the n-grams, 20 bytes each
     postings = _postings(docs, order, buckets)
-    groups = written(postings.groupBy("bucket").applyInArrow(_groups, "grp long, cls long, n long, hub long, hub_n long"), "groups")
+    groups = written(postings.groupBy("bucket").applyInArrow(_groups, GROUPS), "groups")
 
-    pairs = groups.where("cls <> hub").where(_alike("n", "hub_n"))
-    pairs = written(pairs.select(F.col("hub").alias("a"), F.col("hub_n").alias("a_n"), F.col("cls").alias("b"), F.col("n").alias("b_n")).distinct(), "pairs")
+    pairs = written(groups.where("grp is null").select("a", "a_n", "b", "b_n").distinct(), "pairs")
     links = _verified(pairs, keyed, texts, order, "links")
     found = components(links)
 
-    members = groups.select("grp", "cls", "n").distinct()
+    members = groups.where("grp is not null").select("grp", "cls", "n", "inner").distinct()
     members = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = members.groupBy("grp").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("grp")
     left = written(join_splittable(members, mixed, "grp", "inner"), "mixed")
-    one, two = (left.select("grp", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "root")]) for k in (1, 2))
-    rest = one.join(two, "grp").where("root_1 < root_2").where(_alike("n_1", "n_2"))
+    one, two = (left.select("grp", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "inner", "root")]) for k in (1, 2))
+    room = "(inner_1 or n_1 > n_2) and (inner_2 or n_2 > n_1)"
+    rest = one.join(two, "grp").where("root_1 < root_2").where(room).where(_alike("n_1", "n_2"))
     low = F.col("cls_1") < F.col("cls_2")
     rest = rest.select(
         F.least("cls_1", "cls_2").alias("a"), F.when(low, F.col("n_1")).otherwise(F.col("n_2")).alias("a_n"),
@@ -347,8 +378,8 @@ def link_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of (doc_id, text).
 
     Texts with one set of n-grams are one class and cost one. A prefix filter on the global order
-    finds groups of classes that may be linked. First every class of a group is compared with one
-    of it; then, exactly, all pairs of a group that are still in different components: pairs
+    finds groups of classes that may be linked. First every class of a group is compared with
+    HUBS of it; then, exactly, all pairs of a group that are still in different components: pairs
     inside a component change nothing. So groups of any number of near copies stay linear, and no
     component is missed. Sets are compared by 64-bit hashes of their n-grams.
 

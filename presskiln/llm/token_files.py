@@ -42,7 +42,7 @@ class TokenWriter:
     """Writes one file; documents come in file order."""
 
     def __init__(self, out):
-        self.out, self.pack = out, zstandard.ZstdCompressor(level=3, write_checksum=True)
+        self.out, self.pack = out, zstandard.ZstdCompressor(level=1, write_checksum=True)
         self.frames: list[tuple[int, int, int]] = []
         self.docs: list[tuple[int, int, int, int, int]] = []
         self.parts: list[bytes] = []
@@ -166,11 +166,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     return written(placed.mapInArrow(write, schema), "token-files")
 
 
-def read_token_files(files: DataFrame) -> DataFrame:
-    """Every document of the listed files: doc_id, start, n_tokens, ids (binary, 16-bit).
+def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
+    """Every document of the listed files: doc_id, start, n_tokens, ids_crc32, ids (16-bit binary).
 
-    ``start`` counts the ids of all documents before it, over all files in shard order. Files are
-    read by separate tasks; the running sum is over one row per file.
+    ``start`` counts the ids of all documents before it, over all files in shard order; the crc32 is that
+    of the ids as little-endian unsigned 32-bit integers. Files are read by separate tasks; the
+    running sum is over one row per file. Without ids, that column is left out.
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     begins = F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("begin")
@@ -186,39 +187,25 @@ def read_token_files(files: DataFrame) -> DataFrame:
                     rows: list[tuple] = []
                     for i, ids in reader.ids(range(len(reader.doc_ids))):
                         key = None if reader.nulls[i] else int(reader.doc_ids[i])
-                        rows.append((key, int(starts[i]), len(ids), ids.tobytes()))
+                        crc = zlib.crc32(ids.astype("<u4").tobytes())
+                        rows.append((key, int(starts[i]), len(ids), crc, ids.tobytes() if with_ids else None))
                         if len(rows) == 2000:
-                            yield _batch(rows)
+                            yield _batch(rows, with_ids)
                             rows = []
                     if rows:
-                        yield _batch(rows)
+                        yield _batch(rows, with_ids)
 
-    spread = listed.repartition(F.col("path"))
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    return listed.repartition(F.col("path")).mapInArrow(read, schema)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    doc_id, start, n, ids = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc_id, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-        ["doc_id", "start", "n_tokens", "ids"],
-    )
-
-
-def crc_of(ids: bytes) -> int:
-    """Unsigned crc32 of 16-bit ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
-
-
-def digest(documents: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of rows of ``read_token_files``."""
-
-    def crc(batches):
-        for batch in batches:
-            values = pa.array([crc_of(x) for x in batch["ids"].to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["start"], batch["n_tokens"], values], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return documents.mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    arrays = [pa.array(c, pa.int64()) for c in columns[:4]]
+    if with_ids:
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[4], pa.binary())], [*names, "ids"])
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def op1_token_files(spark, sf_dir: str) -> DataFrame:
@@ -227,4 +214,4 @@ def op1_token_files(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = shared_folder(spark, "tokens")
     files = write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
-    return digest(read_token_files(files))
+    return read_token_files(files, with_ids=False)

@@ -13,10 +13,12 @@ import numpy as np
 from presskiln.llm.common import in_pieces
 
 # Chunks of each of two generations of the cache: the older one goes when the newer is full.
-GENERATION = 500_000
+GENERATION = 600_000
 # Unknown chunks in one call's text, and characters of text whose chunks are looked up together.
-JOINED, PIECE_CHARS = 100, 1 << 20
+JOINED, PIECE_CHARS = 50, 4 << 20
 _ENCODERS: dict = {}
+STOPS = frozenset(",.")
+LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
 
 
 class Cache(dict):
@@ -51,6 +53,8 @@ class _ChunkEncoder:
 
     Unknown chunks are joined by a special token of the vocabulary, at which the library cuts a
     text before anything else; chunks that hold a special token's text are encoded one by one.
+    A comma or full stop behind a Latin letter or digit is a pre-token of its own at the end of a
+    chunk, so such chunks are made of two known ones.
     """
 
     def __init__(self, path: str):
@@ -58,24 +62,33 @@ class _ChunkEncoder:
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.mark, self.mark_id = next(iter(special.items()))
         self.special = tuple(special)
+        self.stops = {c: self._one(c) for c in STOPS}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _one(self, chunk: str) -> bytes:
         return np.array(self.library.encode(chunk, add_special_tokens=False).ids, np.uint16).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: set[str], special: bool) -> None:
         if len(self.known) > GENERATION:
             self.older, self.known = self.known, {}
-        known, older, new = self.known, self.older, []
-        for chunk in chunks:
-            if chunk not in known:
-                if chunk in older:
-                    known[chunk] = older[chunk]
-                elif any(s in chunk for s in self.special):
-                    known[chunk] = self._one(chunk)
-                else:
-                    new.append(chunk)
+        known, older, new, ended = self.known, self.older, set(), []
+        for chunk in chunks.difference(known):
+            if (ids := older.get(chunk)) is not None:
+                known[chunk] = ids
+            elif special and any(s in chunk for s in self.special):
+                known[chunk] = self._one(chunk)
+            elif chunk[-1:] in STOPS and chunk[-2:-1] in LATIN:
+                ended.append(chunk)
+                stem = chunk[:-1]
+                if stem not in known:
+                    if (ids := older.get(stem)) is not None:
+                        known[stem] = ids
+                    else:
+                        new.add(stem)
+            else:
+                new.add(chunk)
+        new = list(new)
         groups = [new[k : k + JOINED] for k in range(0, len(new), JOINED)]
         joined = [self.mark.join(g) for g in groups]
         for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
@@ -83,15 +96,17 @@ class _ChunkEncoder:
             ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
             data, begin = ids.tobytes(), 0
             for chunk, end in zip(group, ends, strict=True):
-                known[chunk] = data[2 * begin : 2 * end]
-                begin = end + 1
+                known[chunk] = data[begin : 2 * end]
+                begin = 2 * end + 2
+        for chunk in ended:
+            known[chunk] = known[chunk[:-1]] + self.stops[chunk[-1]]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit integers."""
         out: list[bytes] = []
         for begin, end in in_pieces(map(len, texts), PIECE_CHARS):
             cut = [self.cut(t) for t in texts[begin:end]]
-            self._learn(set().union(*cut))
+            self._learn(set().union(*cut), any(s in t for s in self.special for t in texts[begin:end]))
             known = self.known.__getitem__
             out += [b"".join(map(known, chunks)) for chunks in cut]
         return out
@@ -105,13 +120,13 @@ class ByteEncoder(_ChunkEncoder):
     alone. Texts with longer runs are cut only at the blanks a pattern finds.
     """
 
-    _run = re.compile(r"\s\s")
     _cut = re.compile(r"(?<=\S)(?= \S)")
 
     def cut(self, text: str) -> list[str]:
-        if self._run.search(text):
+        runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        if runs or not text.replace("\n", "").isprintable():  # other white space is not printable
             return self._cut.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else self._cut.split(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
 class WordEncoder(_ChunkEncoder):
