@@ -25,6 +25,8 @@ HUBS = 16
 GROUPS = "grp long, cls long, n long, inner boolean, a long, a_n long, b long, b_n long"
 # What stands for a null doc_id in keys.
 NO_ID = -(1 << 63)
+# Classes of which a table is broadcast at most, at under 200 bytes each.
+BROADCAST_ROWS = 200_000
 POSTING_BYTES, BLOCK_BYTES = 32 << 20, 16 << 20
 
 
@@ -126,9 +128,9 @@ def _sketch(batches):
                     classes.add(name)
                     held.append(shingles)
                     size += len(shingles)
-            if size > 1 << 22:  # what one task has seen once is kept until it has seen much more
+            if size > 1 << 20:  # what one task has seen once is kept until it has seen much more
                 hashes, counts = folded()
-                if len(hashes) > 1 << 22:
+                if len(hashes) > 1 << 21:
                     hashes, counts = hashes[counts > 1], counts[counts > 1]
                 held, size = [], 0
         n = len(names)
@@ -268,14 +270,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
     blocks = max(parts, -(-volume // BLOCK_BYTES))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)))
     wanted = pairs.select(F.col("a").alias("cls"), "block").union(pairs.select("b", "block")).groupBy("cls").agg(F.collect_set("block").alias("blocks"))
-    wanted = wanted.join(texts, "cls").select("cls", "blocks", "_id", "_text")
+    wanted = written(wanted.join(texts, "cls").select("cls", "blocks", "_id", "_text"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
     chosen = docs.join(wanted, ["_id", "_text"]).select("cls", "blocks", "text")
 
     def cut(batches):
         for batch in batches:
             data = texts_of(batch["text"])
             names, blocks_of = batch["cls"].to_pylist(), batch["blocks"].to_pylist()
-            for begin, end in in_pieces(map(len, data), ENCODED_BYTES // 4):
+            for begin, end in in_pieces(map(len, data), ENCODED_BYTES // 2):
                 rows: list[tuple[int, int, int, bytes]] = []
                 for k, shingles in enumerate(shingle_sets(data[begin:end]), begin):
                     if class_of(shingles) != names[k]:
@@ -293,28 +297,36 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         sets = dict(zip(left["cls"].to_pylist(), left["keys"].to_pylist(), strict=True))
-        by_first: dict[int, list[int]] = {}
-        for a, b in zip(right["a"].to_pylist(), right["b"].to_pylist(), strict=True):
+        by_first: dict[int, list[tuple[int, int]]] = {}
+        for a, b, n in zip(right["a"].to_pylist(), right["b"].to_pylist(), right["n"].to_pylist(), strict=True):
             if a in sets and b in sets:
-                by_first.setdefault(a, []).append(b)
-        rows_a, rows_b, shared = [], [], []
+                by_first.setdefault(a, []).append((b, n))
+        cells = []
         for a, others in by_first.items():
             own = np.frombuffer(sets[a], "<u8")
-            segments = [np.frombuffer(sets[b], "<u8") for b in others]
+            segments = [np.frombuffer(sets[b], "<u8") for b, _ in others]
             values = np.concatenate(segments)
             at = np.minimum(np.searchsorted(own, values), len(own) - 1)
             first = np.cumsum([0] + [len(s) for s in segments[:-1]])
-            shared += np.add.reduceat((own[at] == values).astype(np.int64), first).tolist()
-            rows_a += [a] * len(others)
-            rows_b += others
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in (("a", rows_a), ("b", rows_b), ("shared", shared))})
+            shared = np.add.reduceat((own[at] == values).astype(np.int64), first)
+            cells.append(frame_bytes([*np.array(others, np.int64).T, shared]))
+        block = pa.array([right["block"][0].as_py()] * len(cells) if cells else [], pa.int64())
+        return pa.table({"block": block, "a": pa.array(list(by_first), pa.int64()), "counts": pa.array(cells, pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        b, n, shared = (np.concatenate(c) for c in zip(*(framed(x, ("<i8",) * 3) for x in table["counts"].to_pylist()), strict=True))
+        names, place = np.unique(b, return_inverse=True)
+        total, size = np.bincount(place, shared, len(names)).astype(np.int64), np.zeros(len(names), np.int64)
+        size[place] = n
+        linked = names[100 * total >= PERCENT * (size - total)]
+        return pa.table({"a": pa.array([table["a"][0].as_py()] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
 
     segments = chosen.mapInArrow(cut, "block long, fragment long, cls long, keys binary")
-    asked = pairs.select("block", "a", "b", F.explode(F.array(*[F.lit(f).cast("long") for f in range(FRAGMENTS)])).alias("fragment"))
-    counted = segments.groupBy("block", "fragment").cogroup(asked.groupBy("block", "fragment")).applyInArrow(count, "a long, b long, shared long")
-    summed = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    links = pairs.join(summed, ["a", "b"]).where(100 * F.col("shared") >= PERCENT * (F.col("a_n") + F.col("b_n") - F.col("shared")))
-    return written(links.select("a", "b"), name)
+    fragments = F.explode(F.array(*[F.lit(f).cast("long") for f in range(FRAGMENTS)])).alias("fragment")
+    asked = pairs.select("block", "a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), fragments)
+    # One row for each first class of a block and fragment: its pairs' counts, packed.
+    counted = segments.groupBy("block", "fragment").cogroup(asked.groupBy("block", "fragment")).applyInArrow(count, "block long, a long, counts binary")
+    return written(counted.groupBy("block", "a").applyInArrow(add, "a long, b long"), name)
 
 
 def _segments(rows: list[tuple]) -> pa.RecordBatch:
