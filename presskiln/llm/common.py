@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = "presskiln"
 # Bytes of text of which a task holds the result at a time, besides the batch it comes in.
-ENCODED_BYTES = 2 << 20
+ENCODED_BYTES = 1 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:

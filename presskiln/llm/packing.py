@@ -116,7 +116,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, keep_ids: bool = True
             made = 0
             for batch in batches:
                 doc_ids = batch["doc_id"].to_pylist()
-                for begin, stop in in_pieces(sizes_of(batch["text"]), 2 * ENCODED_BYTES):
+                for begin, stop in in_pieces(sizes_of(batch["text"]), 4 * ENCODED_BYTES):
                     texts = [t or "" for t in batch["text"].slice(begin, stop - begin).to_pylist()]
                     for doc_id, data in zip(doc_ids[begin:stop], encode_all(texts), strict=True):
                         for piece in pieces_of(doc_id, np.frombuffer(data + end, "<u2"), keep_ids):

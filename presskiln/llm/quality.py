@@ -17,6 +17,8 @@ BUCKETS = 1 << 18
 # behind the ratios are taken over all labelled rows.
 FITTED_PER_CLASS = 4000
 ROUNDS, COST, SMOOTHING = 12, 0.1, 1.0
+# Labels of which a table is broadcast at most.
+BROADCAST_LABELS = 500_000
 # Shares of a text's words that are repeats are told apart in steps of this size.
 STEPS = 16
 
@@ -174,7 +176,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = FITTED_PER_CLASS)
     ship(docs.sparkSession)
     known = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out("doc_id")).select("doc_id", F.col("quality").cast("int").alias("quality"))
     texts = docs.select("doc_id", "text")
-    counts, totals = class_counts(texts.join(known, "doc_id").select("text", "quality"))
+    # Few labels are broadcast, 16 bytes each; with more, both sides are shuffled.
+    few = known.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    counts, totals = class_counts(texts.join(F.broadcast(known) if few else known, "doc_id").select("text", "quality"))
     order = (F.xxhash64("doc_id"), "doc_id")
     chosen = known.where("quality = 0").orderBy(*order).limit(per_class).unionByName(known.where("quality = 1").orderBy(*order).limit(per_class))
 

@@ -146,7 +146,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             writer = TokenWriter(out)
             for batch in batches:
                 doc_ids = batch["doc_id"].to_pylist()
-                for begin, stop in in_pieces(sizes_of(batch["text"]), 2 * ENCODED_BYTES):
+                for begin, stop in in_pieces(sizes_of(batch["text"]), 4 * ENCODED_BYTES):
                     texts = [t or "" for t in batch["text"].slice(begin, stop - begin).to_pylist()]
                     for doc_id, ids in zip(doc_ids[begin:stop], encode_all(texts), strict=True):
                         writer.add(doc_id, ids + end)
