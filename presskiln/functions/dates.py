@@ -15,12 +15,19 @@ _WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day
 DATE_LAYOUTS = (
     (r"^\d{8}(?!\d)", "yyyyMMdd['T'HHmmss[X]]"),
     (r"^\d{4}/", "yyyy/M/d[ HH:mm[:ss]]"),
-    (r"^\d{1,2} [A-Za-z]{3} ", "d MMM yyyy[ HH:mm[:ss][ xx][ z]]"),
-    (r"^\d{1,2} [A-Za-z]{4,} ", "d MMMM yyyy[ HH:mm[:ss][ xx][ z]]"),
+    (r"^\d{1,2} [A-Za-z]{3} ", "d MMM yyyy[ HH:mm[:ss][ xx]]"),
+    (r"^\d{1,2} [A-Za-z]{4,} ", "d MMMM yyyy[ HH:mm[:ss][ xx]]"),
     (r"^[A-Za-z]{3} \d", "MMM d[,] yyyy[ h:mm a]"),
     (r"^[A-Za-z]{4,} \d", "MMMM d[,] yyyy[ h:mm a]"),
     (r"^\d{1,2}/\d{1,2}/", "M/d/yyyy[ HH:mm[:ss]]"),
+    (r"^\d{1,2}/\d{1,2}/", "d/M/yyyy[ HH:mm[:ss]]"),
+    (r"^\d{1,2}-[A-Za-z]{3}-", "d-MMM-yyyy[ HH:mm[:ss]]"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy[ HH:mm[:ss]]"),
+    (r"^\d{4}\.\d", "yyyy.M.d[ HH:mm[:ss]]"),
+    (r"^\d{14}$", "yyyyMMddHHmmss"),
 )
+# Fixed value: the name of a zone behind a time, which is not looked at: the time is UTC.
+_ZONE_NAME = r"(:\d{2}) [A-Z]{3,4}$"
 
 
 def parse_date(text: Column) -> Column:
@@ -35,7 +42,8 @@ def parse_date(text: Column) -> Column:
         ]
         return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), *tries))
 
-    return let(F.regexp_replace(F.trim(text), _WEEKDAY, ""), read)
+    plain = F.regexp_replace(F.regexp_replace(F.trim(text), _WEEKDAY, ""), _ZONE_NAME, "$1")
+    return let(plain, read)
 
 
 def parse_iso(text: Column) -> Column:

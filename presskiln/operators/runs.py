@@ -10,10 +10,8 @@ from presskiln.operators.updates import update_rows
 # States of a run.
 RUNNING, SUCCESS, PARTIAL, FAILED = "running", "success", "partial", "failed"
 
-# Errors per piece of text, and characters of text that may go into one cell. Spark cells
-# end at 2 GB; a longer text is kept whole in its pieces (``error_parts``).
+# Errors per piece of text.
 PART_ERRORS = 10_000
-CELL_CHARS = 256 * 1024 * 1024
 
 
 def open_runs(runs: DataFrame, started_at: Column) -> DataFrame:
@@ -55,20 +53,9 @@ def error_parts(results: DataFrame, run: str = "run_id", order: str = "job_seq")
 
 
 def error_texts(parts: DataFrame, run: str = "run_id") -> DataFrame:
-    """One text per run, its pieces joined in order.
-
-    A text that would not fit one cell is replaced by a note; its pieces hold it whole.
-    """
-    sizes = parts.groupBy(run).agg(F.sum(F.length("error_message") + 2).alias("_chars"))
-    sized = parts.join(sizes, run)
+    """One text per run, its pieces joined in order."""
     text = F.expr("listagg(error_message, '; ') WITHIN GROUP (ORDER BY part_no)")
-    whole = (
-        sized.where(F.col("_chars") <= CELL_CHARS).groupBy(run).agg(text.alias("error_message"))
-    )
-    note = F.concat(F.col("_chars").cast("string"), F.lit(" characters of errors in run_error_parts"))
-    return whole.unionByName(
-        sizes.where(F.col("_chars") > CELL_CHARS).select(run, note.alias("error_message"))
-    )
+    return parts.groupBy(run).agg(text.alias("error_message"))
 
 
 def run_errors(results: DataFrame, run: str = "run_id", order: str = "job_seq") -> DataFrame:

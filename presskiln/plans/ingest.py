@@ -33,10 +33,16 @@ def utc(moment: datetime) -> Column:
 
 
 def settings_of(registry_table: DataFrame, base: R.Settings = R.Settings()) -> R.Settings:
-    """Settings of the registry document; missing ones stay as in ``base``."""
-    row = registry_table.select("settings.max_listing_pages", "settings.max_articles_per_source").first()
-    if row is None:
+    """Settings of the registry document; missing ones stay as in ``base``.
+
+    Several documents are refused: the settings of one must not rule the sources of another.
+    """
+    rows = registry_table.select("settings.max_listing_pages", "settings.max_articles_per_source").limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("the registry holds several documents: pass settings")
+    if not rows:
         return base
+    row = rows[0]
     pages = base.max_listing_pages if row[0] is None else row[0]
     return replace(base, max_listing_pages=pages, max_articles=row[1])
 
@@ -122,7 +128,8 @@ def ingest(
         return Ingest(problems, done)
 
     valid = entries.where(F.col("problem").isNull())
-    sources = cut_lineage(registry.upsert_sources(store.read("sources"), valid, "source_seq"))
+    # Every configured source with an address is kept up to date; only valid ones are run.
+    sources = cut_lineage(registry.upsert_sources(store.read("sources"), entries, "source_seq"))
     enabled = registry.with_source_ids(registry.enabled_sources(valid), sources)
     active = cut_lineage(
         ranking.with_next_ids(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,17 +33,17 @@ def tune(spark: SparkSession) -> SparkSession:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of the cluster.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session that names none gets a
-    scratch folder; on a cluster a missing folder is an error, because a machine-local one
-    would be lost with its executor.
+    The folder is ``spark.checkpoint.dir``. Only a local session that names none gets one below
+    its warehouse; on a cluster a missing folder is an error, because a machine-local one would
+    be lost with its executor.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.match(r"local($|\[)", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="presskiln-")
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -78,6 +78,7 @@ def test_two_runs(world):
         (2, "Sky", True, "unknown"),
         (3, "News", True, "unknown"),
         (4, "Off", False, "unknown"),
+        (5, "Odd", True, "unknown"),  # of a type that is not run, but configured
     ]
     articles = store.read("articles").orderBy("article_id").collect()
     assert [(a.article_id, a.source_id, a.url, a.title) for a in articles] == [
@@ -111,7 +112,7 @@ def test_two_runs(world):
         (6, "https://news.sky.com/story/moved"),
     ]
     assert [r.run_id for r in store.read("scrape_runs").orderBy("run_id").collect()] == [1, 2, 3, 4, 5, 6]
-    assert store.read("sources").count() == 4
+    assert store.read("sources").count() == 5
 
 
 def test_writes_become_visible_by_commit_only(spark, tmp_path):
