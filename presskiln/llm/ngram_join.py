@@ -18,8 +18,9 @@ PERCENT = 75
 # The rest is in order of the hash. Any order gives the same result; this one keeps n-grams that
 # many documents share out of the prefixes.
 FREQUENT = 1 << 20
-# Vertical fragments: two ranges of the n-grams in hash order, two of the frequent ones.
-FRAGMENTS = 4
+# Vertical fragments: two ranges of the n-grams in hash order, two of the frequent ones. What the
+# first one shares rules most pairs out; only the others are counted in the rest.
+FIRST, REST = [0], [1, 2, 3]
 # Classes of a group that all others of it are compared with, before the pairs that are left.
 HUBS = 16
 GROUPS = "grp long, cls long, n long, inner boolean, a long, a_n long, b long, b_n long"
@@ -83,7 +84,7 @@ class Order:
         """The vertical fragment of each place."""
         frequent = places >> np.uint64(63) != 0
         late = (places & np.uint64((1 << 63) - 1)) >= np.uint64(max(1, len(self.hashes) // 2))
-        return np.where(frequent, 2 + late, (places >> np.uint64(62)).astype(np.int64))
+        return np.where(frequent, 2 + late, (places >> np.uint64(61) != 0).astype(np.int64))
 
 
 def prefix_size(n: int) -> int:
@@ -166,7 +167,11 @@ def global_order(counted: DataFrame) -> Order:
 
 
 def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
-    """(bucket, blob): the prefixes of all classes of a task, dealt out by n-gram."""
+    """(bucket, blob): the prefixes of all classes of a task, dealt out by n-gram.
+
+    Within a bucket 32 bits tell n-grams apart: two that fall together only make candidates, which
+    are compared in full. Sizes of postings that are not ``inner`` are negative.
+    """
 
     def run(batches):
         classes: set[int] = set()
@@ -179,16 +184,17 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
             place = np.concatenate([p for _, _, p in held])
             at = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             inner = at < np.array([inner_size(n) for _, n, _ in held])[owner]
-            bucket = (mix(place) % np.uint64(buckets)).astype(np.int64)
+            mixed = mix(place)
+            bucket, key = (mixed % np.uint64(buckets)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.uint32)
             turn = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[turn], np.arange(buckets + 1))
-            cls, n = np.array([c for c, _, _ in held], np.int64), np.array([k for _, k, _ in held], np.int64)
+            cls, n = np.array([c for c, _, _ in held], np.int64), np.array([k for _, k, _ in held], np.int32)
             ids, cells = [], []
             for k in np.flatnonzero(np.diff(cut)).tolist():
                 own = turn[cut[k] : cut[k + 1]]
                 who = owner[own]
                 ids.append(k)
-                cells.append(frame_bytes([place[own], cls[who], n[who].astype(np.int32), inner[own]]))
+                cells.append(frame_bytes([key[own], cls[who], np.where(inner[own], n[who], -n[who])]))
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.binary())], ["bucket", "blob"])
 
         for batch in batches:
@@ -217,8 +223,9 @@ def _groups(table: pa.Table) -> pa.Table:
     be, are paired with the others of their group, as far as sizes and places allow a link. Rows
     of members (grp, cls, n, inner) come first, then pairs (a, a_n, b, b_n).
     """
-    parts = [framed(b, ("<u8", "<i8", "<i4", "?")) for b in table["blob"].to_pylist()]
-    place, cls, n, inner = (np.concatenate(c) for c in zip(*parts, strict=True))
+    parts = [framed(b, ("<u4", "<i8", "<i4")) for b in table["blob"].to_pylist()]
+    place, cls, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    inner, n = n > 0, np.abs(n)
     turn = np.lexsort((cls, ~inner, place))
     place, cls, n, inner = place[turn], cls[turn], n[turn], inner[turn]
     new = np.ones(len(place), bool)
@@ -257,19 +264,31 @@ def _alike(one: str, two: str) -> Column:
     return 100 * F.least(one, two) >= PERCENT * F.greatest(one, two)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name: str) -> DataFrame:
-    """Links (a, b) among the pairs (a, a_n, b, b_n) of classes.
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, a_n, b, b_n) with the block that compares them.
 
-    The sets of the classes that occur are made again from one text each and cut vertically. Pairs
-    are dealt to blocks by their second class, which spreads a first class of many pairs; each
-    block and fragment counts what its pairs share, and the counts are summed for each pair.
+    All pairs of one second class b go where the least of its first classes leads, and with them
+    those of its neighbours, so that most sets are sent to one block only. A place with more than
+    a block's share of all bytes is split by b.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    volume = pairs.agg(F.sum(8 * (F.col("a_n") + F.col("b_n")))).first()[0] or 0
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    homes = pairs.groupBy("b").agg(F.min("a").alias("home"), F.sum(8 * (F.col("a_n") + F.col("b_n"))).alias("bytes"))
+    homes = written(homes, "homes")
+    volume = homes.agg(F.sum("bytes")).first()[0] or 1
     blocks = max(parts, -(-volume // BLOCK_BYTES))
-    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)))
-    wanted = pairs.select(F.col("a").alias("cls"), "block").union(pairs.select("b", "block")).groupBy("cls").agg(F.collect_set("block").alias("blocks"))
+    loads = homes.groupBy("home").agg(F.ceil(F.sum("bytes") / (volume / blocks)).alias("splits"))
+    split = F.pmod(F.xxhash64("b"), "splits")
+    block = F.pmod(F.xxhash64("home", split), F.lit(blocks)).alias("block")
+    placed = join_splittable(homes, loads, "home", "inner").select("b", block)
+    return written(join_splittable(pairs, placed, "b", "inner").select("block", "a", "a_n", "b", "b_n", F.lit(0).cast("long").alias("found")), "dealt")
+
+
+def _counted(dealt: DataFrame, docs: DataFrame, texts: DataFrame, order, fragments: list[int]) -> DataFrame:
+    """(block, counts): what the pairs of a block share in one of the fragments, packed.
+
+    The sets of the classes that occur are made again from one text each and cut vertically.
+    """
+    wanted = dealt.select(F.col("a").alias("cls"), "block").union(dealt.select("b", "block")).groupBy("cls").agg(F.collect_set("block").alias("blocks"))
     wanted = written(wanted.join(texts, "cls").select("cls", "blocks", "_id", "_text"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
         wanted = F.broadcast(wanted)
@@ -286,9 +305,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
                         continue  # another text under one id and hash
                     places = np.sort(order.value.places(shingles))
                     fragment = order.value.fragment(places)
-                    for f in np.unique(fragment).tolist():
+                    for f in fragments:
                         own = places[fragment == f].tobytes()
-                        rows += [(block, f, names[k], own) for block in blocks_of[k]]
+                        if own:
+                            rows += [(block, f, names[k], own) for block in blocks_of[k]]
                         if len(rows) >= 2000:
                             yield _segments(rows)
                             rows = []
@@ -296,37 +316,73 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
                     yield _segments(rows)
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets = dict(zip(left["cls"].to_pylist(), left["keys"].to_pylist(), strict=True))
-        by_first: dict[int, list[tuple[int, int]]] = {}
-        for a, b, n in zip(right["a"].to_pylist(), right["b"].to_pylist(), right["n"].to_pylist(), strict=True):
-            if a in sets and b in sets:
-                by_first.setdefault(a, []).append((b, n))
+        sets = {c: np.frombuffer(k, "<u8") for c, k in zip(left["cls"].to_pylist(), left["keys"].to_pylist(), strict=True)}
+        none = np.zeros(0, "<u8")
         cells = []
-        for a, others in by_first.items():
-            own = np.frombuffer(sets[a], "<u8")
-            segments = [np.frombuffer(sets[b], "<u8") for b, _ in others]
-            values = np.concatenate(segments)
-            at = np.minimum(np.searchsorted(own, values), len(own) - 1)
-            first = np.cumsum([0] + [len(s) for s in segments[:-1]])
-            shared = np.add.reduceat((own[at] == values).astype(np.int64), first)
-            cells.append(frame_bytes([*np.array(others, np.int64).T, shared]))
+        for asked in right["pairs"].chunks:
+            pairs = asked.flatten()
+            a, a_n, b, b_n, found = (pairs.field(c).to_numpy() for c in ("a", "a_n", "b", "b_n", "found"))
+            shared, a_size, b_size = (np.zeros(len(a), np.int64) for _ in range(3))
+            turn = np.argsort(a, kind="stable")
+            for group in np.split(turn, np.flatnonzero(np.diff(a[turn])) + 1):
+                own = sets.get(int(a[group[0]]), none)
+                segments = [sets.get(x, none) for x in b[group].tolist()]
+                a_size[group], b_size[group] = len(own), [len(s) for s in segments]
+                values = np.concatenate(segments)
+                if len(own) and len(values):
+                    at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                    upto = np.concatenate(([0], np.cumsum(own[at] == values)))
+                    ends = np.cumsum(b_size[group])
+                    shared[group] = upto[ends] - upto[ends - b_size[group]]
+            cells.append(frame_bytes([a, a_n, b, b_n, found, shared, a_size, b_size]))
         block = pa.array([right["block"][0].as_py()] * len(cells) if cells else [], pa.int64())
-        return pa.table({"block": block, "a": pa.array(list(by_first), pa.int64()), "counts": pa.array(cells, pa.binary())})
-
-    def add(table: pa.Table) -> pa.Table:
-        b, n, shared = (np.concatenate(c) for c in zip(*(framed(x, ("<i8",) * 3) for x in table["counts"].to_pylist()), strict=True))
-        names, place = np.unique(b, return_inverse=True)
-        total, size = np.bincount(place, shared, len(names)).astype(np.int64), np.zeros(len(names), np.int64)
-        size[place] = n
-        linked = names[100 * total >= PERCENT * (size - total)]
-        return pa.table({"a": pa.array([table["a"][0].as_py()] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
+        return pa.table({"block": block, "counts": pa.array(cells, pa.binary())})
 
     segments = chosen.mapInArrow(cut, "block long, fragment long, cls long, keys binary")
-    fragments = F.explode(F.array(*[F.lit(f).cast("long") for f in range(FRAGMENTS)])).alias("fragment")
-    asked = pairs.select("block", "a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), fragments)
-    # One row for each first class of a block and fragment: its pairs' counts, packed.
-    counted = segments.groupBy("block", "fragment").cogroup(asked.groupBy("block", "fragment")).applyInArrow(count, "block long, a long, counts binary")
-    return written(counted.groupBy("block", "a").applyInArrow(add, "a long, b long"), name)
+    each = F.explode(F.array(*[F.lit(f).cast("long") for f in fragments])).alias("fragment")
+    asked = dealt.groupBy("block").agg(F.collect_list(F.struct("a", "a_n", "b", "b_n", "found")).alias("pairs"))
+    asked = asked.select("block", "pairs", each)
+    return segments.groupBy("block", "fragment").cogroup(asked.groupBy("block", "fragment")).applyInArrow(count, "block long, counts binary")
+
+
+def _unpacked(cells: list[bytes]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*(framed(x, ("<i8",) * 8) for x in cells), strict=True)]
+
+
+def _possible(batches):
+    """Pairs that may still be links: what they share in the first fragment, and all that the
+    smaller rest of the two sets could add, is enough."""
+    for batch in batches:
+        for block, cell in zip(batch["block"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+            a, a_n, b, b_n, found, shared, a_size, b_size = _unpacked([cell])
+            most = found + shared + np.minimum(a_n - a_size, b_n - b_size)
+            on = np.flatnonzero(100 * most >= PERCENT * (a_n + b_n - most))
+            columns = [np.full(len(on), block), a[on], a_n[on], b[on], b_n[on], (found + shared)[on]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["block", "a", "a_n", "b", "b_n", "found"])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Links of one block: counts of the fragments summed for each pair."""
+    a, a_n, b, b_n, found, shared, _, _ = _unpacked(table["counts"].to_pylist())
+    turn = np.lexsort((b, a))
+    a, a_n, b, b_n, found, shared = (c[turn] for c in (a, a_n, b, b_n, found, shared))
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    total = found[first] + np.add.reduceat(shared, first)
+    on = first[100 * total >= PERCENT * (a_n[first] + b_n[first] - total)]
+    return pa.table({"a": pa.array(a[on], pa.int64()), "b": pa.array(b[on], pa.int64())})
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name: str) -> DataFrame:
+    """Links (a, b) among the distinct pairs (a, a_n, b, b_n) of classes.
+
+    Each block and fragment counts what its pairs share, and the counts are summed for each pair.
+    The first fragment goes ahead: pairs that cannot be links any more leave the others out.
+    """
+    fields = "block long, a long, a_n long, b long, b_n long, found long"
+    ahead = _counted(_dealt(pairs), docs, texts, order, FIRST)
+    possible = written(ahead.mapInArrow(_possible, fields), "possible")
+    counted = _counted(possible, docs, texts, order, REST)
+    return written(counted.groupBy("block").applyInArrow(_summed, "a long, b long"), name)
 
 
 def _segments(rows: list[tuple]) -> pa.RecordBatch:
@@ -351,7 +407,7 @@ def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = written(classes.select("cls", "key", "n"), "classes")
     texts = classes.select("cls", "key._id", "key._text")
     volume = classes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(2 * parts, 5 * volume // POSTING_BYTES)  # a quarter of the n-grams, 20 bytes each
+    buckets = max(2 * parts, 4 * volume // POSTING_BYTES)  # a quarter of the n-grams, 16 bytes each
     postings = _postings(docs, order, buckets)
     groups = written(postings.groupBy("bucket").applyInArrow(_groups, GROUPS), "groups")
 
