@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import ENCODED_BYTES, SPACED, Words, frame_bytes, framed, in_pieces, mix, ship, texts_of, written
+from presskiln.llm.common import ENCODED_BYTES, SPACED, Words, frame_bytes, framed, in_pieces, mix, ship, sizes_of, texts_of, written
 from presskiln.llm.components import components
 from presskiln.operators.skew import join_splittable
 
@@ -28,7 +28,7 @@ GROUPS = "grp long, cls long, n long, inner boolean, a long, a_n long, b long, b
 NO_ID = -(1 << 63)
 # Classes of which a table is broadcast at most, at under 200 bytes each.
 BROADCAST_ROWS = 200_000
-POSTING_BYTES, BLOCK_BYTES = 32 << 20, 16 << 20
+POSTING_BYTES, BLOCK_BYTES = 16 << 20, 16 << 20
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -107,21 +107,21 @@ def _sketch(batches):
     """Class and size of every row, then shingles that several classes of the task share."""
     classes: set[int] = set()
     held: list[np.ndarray] = []
-    size, hashes, counts = 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    size, hashes, counts = 0, np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def folded():
-        value = np.concatenate([hashes, *held])
-        weight = np.concatenate([counts, np.ones(len(value) - len(hashes), np.int64)])
-        order = np.argsort(value, kind="stable")
-        value, weight = value[order], weight[order]
-        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.zeros(0, np.int64)
-        return value[first], np.add.reduceat(weight, first) if len(first) else weight
+        value, weight = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        at = np.searchsorted(hashes, value)
+        known = at < len(hashes)
+        known[known] = hashes[at[known]] == value[known]
+        counts[at[known]] += weight[known].astype(np.int32)
+        at, value, weight = at[~known], value[~known], weight[~known]
+        return np.insert(hashes, at, value), np.insert(counts, at, weight)
 
     for batch in batches:
-        texts = texts_of(batch["text"])
         sizes, names = [], []
-        for begin, end in in_pieces(map(len, texts), ENCODED_BYTES):
-            for shingles in shingle_sets(texts[begin:end]):
+        for begin, end in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
+            for shingles in shingle_sets(texts_of(batch["text"].slice(begin, end - begin))):
                 name = class_of(shingles)
                 sizes.append(len(shingles))
                 names.append(name)
@@ -140,7 +140,7 @@ def _sketch(batches):
             ["_id", "_text", "n", "cls", "shingle", "count"],
         )
     hashes, counts = folded()
-    hashes, counts = hashes[counts > 1].astype(np.int64), counts[counts > 1]
+    hashes, counts = hashes[counts > 1].astype(np.int64), counts[counts > 1].astype(np.int64)
     for k in range(0, len(hashes), 100_000):
         part = pa.array(hashes[k : k + 100_000])
         none = pa.nulls(len(part), pa.int64())
@@ -198,9 +198,8 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.binary())], ["bucket", "blob"])
 
         for batch in batches:
-            texts = texts_of(batch["text"])
-            for begin, end in in_pieces(map(len, texts), ENCODED_BYTES):
-                for shingles in shingle_sets(texts[begin:end]):
+            for begin, end in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
+                for shingles in shingle_sets(texts_of(batch["text"].slice(begin, end - begin))):
                     name = class_of(shingles)
                     if len(shingles) and name not in classes:
                         classes.add(name)
@@ -296,11 +295,10 @@ def _counted(dealt: DataFrame, docs: DataFrame, texts: DataFrame, order, fragmen
 
     def cut(batches):
         for batch in batches:
-            data = texts_of(batch["text"])
             names, blocks_of = batch["cls"].to_pylist(), batch["blocks"].to_pylist()
-            for begin, end in in_pieces(map(len, data), ENCODED_BYTES // 2):
+            for begin, end in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES // 2):
                 rows: list[tuple[int, int, int, bytes]] = []
-                for k, shingles in enumerate(shingle_sets(data[begin:end]), begin):
+                for k, shingles in enumerate(shingle_sets(texts_of(batch["text"].slice(begin, end - begin))), begin):
                     if class_of(shingles) != names[k]:
                         continue  # another text under one id and hash
                     places = np.sort(order.value.places(shingles))
