@@ -206,7 +206,7 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
                         k = prefix_size(len(shingles))
                         held.append((name, len(shingles), np.sort(np.partition(order.value.places(shingles), k - 1)[:k])))
                         size += k
-                if size > 1 << 20:
+                if size > 1 << 19:
                     yield flushed()
                     held, size = [], 0
         if held:
