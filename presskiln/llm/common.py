@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE = "presskiln"
 # Bytes of text of which a task holds the result at a time, besides the batch it comes in.
 ENCODED_BYTES = 1 << 20
+# What one Arrow batch of a table that is being written may hold: by default two of the 64 MB that
+# Spark allows stand in an executor and in each of its workers, beside all that a task needs.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -47,10 +50,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to a table in the shared folder and read from there: lineage ends."""
+    """The rows, written to a table in the shared folder and read from there: lineage ends.
+
+    Meanwhile Arrow batches hold BATCH_BYTES or one row; the session's setting is put back.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
