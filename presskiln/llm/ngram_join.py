@@ -22,7 +22,7 @@ FREQUENT = 1 << 20
 # first one shares rules most pairs out; only the others are counted in the rest.
 FIRST, REST = [0], [1, 2, 3]
 # Classes of a group that all others of it are compared with, before the pairs that are left.
-HUBS = 16
+HUBS = 32
 GROUPS = "grp long, cls long, n long, inner boolean, a long, a_n long, b long, b_n long"
 # What stands for a null doc_id in keys.
 NO_ID = -(1 << 63)
