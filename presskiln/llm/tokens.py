@@ -15,7 +15,7 @@ from presskiln.llm.common import in_pieces
 # Chunks of each of two generations of the cache: the older one goes when the newer is full.
 GENERATION = 600_000
 # Unknown chunks in one call's text, and characters of text whose chunks are looked up together.
-JOINED, PIECE_CHARS = 50, 4 << 20
+JOINED, PIECE_CHARS = 20, 4 << 20
 _ENCODERS: dict = {}
 STOPS = frozenset(",.")
 LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
@@ -52,7 +52,8 @@ class _ChunkEncoder:
     """Ids of chunks from the library, several thousand unknown ones in a few calls.
 
     Unknown chunks are joined by a special token of the vocabulary, at which the library cuts a
-    text before anything else; chunks that hold a special token's text are encoded one by one.
+    text before anything else, or by nothing where they can stand ``beside`` each other; chunks
+    that hold a special token's text are encoded one by one.
     A comma or full stop behind a Latin letter or digit is a pre-token of its own at the end of a
     chunk, so such chunks are made of two known ones.
     """
@@ -62,6 +63,9 @@ class _ChunkEncoder:
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.mark, self.mark_id = next(iter(special.items()))
         self.special = tuple(special)
+        self.blanks = any(" " in s for s in special)
+        self.leads = np.zeros(1 << 16, bool)  # tokens that begin with a blank, in byte-level form
+        self.leads[[i for t, i in self.library.get_vocab().items() if t.startswith("\u0120")]] = True
         self.stops = {c: self._one(c) for c in STOPS}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -88,18 +92,27 @@ class _ChunkEncoder:
                         new.add(stem)
             else:
                 new.add(chunk)
-        new = list(new)
-        groups = [new[k : k + JOINED] for k in range(0, len(new), JOINED)]
-        joined = [self.mark.join(g) for g in groups]
+        beside = [c for c in new if self.beside(c)]
+        self._encode(beside, "")
+        self._encode(list(new.difference(beside)), self.mark)
+        for chunk in ended:
+            known[chunk] = known[chunk[:-1]] + self.stops[chunk[-1]]
+
+    def beside(self, chunk: str) -> bool:
+        """Whether the chunk may stand right behind another one, its first token telling where."""
+        return False
+
+    def _encode(self, chunks: list[str], mark: str) -> None:
+        """Ids of unknown chunks, some of them at a time, joined by the mark or by nothing."""
+        groups = [chunks[k : k + JOINED] for k in range(0, len(chunks), JOINED)]
+        joined = [mark.join(g) for g in groups]
         for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.uint16)
-            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+            at = np.flatnonzero(ids == self.mark_id) if mark else np.flatnonzero(self.leads[ids])[1:]
             data, begin = ids.tobytes(), 0
-            for chunk, end in zip(group, ends, strict=True):
-                known[chunk] = data[begin : 2 * end]
-                begin = 2 * end + 2
-        for chunk in ended:
-            known[chunk] = known[chunk[:-1]] + self.stops[chunk[-1]]
+            for chunk, end in zip(group, (2 * np.append(at, len(ids))).tolist(), strict=True):
+                self.known[chunk] = data[begin:end]
+                begin = end + 2 * bool(mark)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit integers."""
@@ -122,6 +135,10 @@ class ByteEncoder(_ChunkEncoder):
 
     _cut = re.compile(r"(?<=\S)(?= \S)")
 
+    def beside(self, chunk: str) -> bool:
+        """A blank, then no white space: its first pre-token, and no other, begins with a blank."""
+        return chunk.rfind(" ") == 0 and len(chunk) > 1 and chunk.isprintable() and not self.blanks
+
     def cut(self, text: str) -> list[str]:
         runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
         if runs or not text.replace("\n", "").isprintable():  # other white space is not printable
