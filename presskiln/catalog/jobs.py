@@ -70,21 +70,77 @@ def pagination_stop(spark, folder):
     return kept.select("source_seq", F.col("page_no").cast("long").alias("page_no"), "page_id", "n_links")
 
 
-def listing_cap(spark, folder):
-    """Links visited under a cap; a link with a comma is refused."""
-    found = T.links(spark, folder).select("page_id", "url").join(numbered_pages(spark, folder), "page_id")
-    candidates = found.select(
-        "source_seq", "page_no", "url", F.col("url").alias("final_url"), (~F.col("url").contains(",")).alias("ok")
+def with_targets(found, spark, folder):
+    """Links with where they lead: one that ends with e leads to the last good link of its host."""
+    host = F.regexp_extract("url", "//([^/]*)", 1)
+    good = T.links(spark, folder).where(~F.regexp_extract("url", "//[^/]*(.*)$", 1).rlike("[.,]"))
+    last = good.groupBy(host.alias("_host")).agg(F.max(F.regexp_replace("url", "^http:", "https:")).alias("_last"))
+    joined = found.join(last, host == F.col("_host"), "left")
+    return joined.withColumn("final_url", F.when(F.col("url").endswith("e"), F.col("_last")).otherwise(F.col("url"))).drop("_host", "_last")
+
+
+def limit_of(seq):
+    """The limit on articles of a source: 2, 3 or none."""
+    return F.when(seq % 3 == 0, CAP).when(seq % 3 == 1, CAP - 1).cast("int")
+
+
+def _candidates(spark, folder):
+    """Links of numbered pages; a link with a comma is refused."""
+    found = T.links(spark, folder).select("page_id", F.regexp_replace("url", "^http:", "https:").alias("url"))
+    found = with_targets(found.join(numbered_pages(spark, folder), "page_id").where(F.col("page_no") < PAGES), spark, folder)
+    return found.select(
+        "source_seq", "page_no", "url", "final_url", (~F.col("url").contains(",")).alias("ok")
     ).distinct()
-    visited = clicks.visited_links(candidates, CAP, PAGES)
+
+
+def listing_cap(spark, folder):
+    """Links visited under the limit of each source."""
+    visited = clicks.visited_links(_candidates(spark, folder).withColumn("max_articles", limit_of(F.col("source_seq"))))
     return visited.select("source_seq", F.col("page_no").cast("long").alias("page_no"), "url", "ok")
 
 
+def listing_handover(spark, folder):
+    """Three sources with the same pages, forth, back and forth: what each visits and where it stops."""
+    found = _candidates(spark, folder)
+    turns = [
+        found.select(
+            (F.col("source_seq") * 3 + k).alias("source_seq"),
+            (F.lit(PAGES) - 1 - F.col("page_no") if k == 1 else F.col("page_no")).cast("int").alias("page_no"),
+            "url", "final_url", "ok",
+        ).withColumn("max_articles", F.lit((CAP, 1, 4)[k]))
+        for k in range(3)
+    ]
+    walks = clicks.settled_walks(turns[0].unionByName(turns[1]).unionByName(turns[2]))
+    urls = F.array_join(F.transform("visits", lambda visit: visit["url"]), "|")
+    return walks.where(F.size("visits") > 0).select("source_seq", urls.alias("urls"), F.col("stop_page").cast("long").alias("stop_page"))
+
+
+def redirects_as_of(spark, folder):
+    """Every link followed three times: long ago to its own page, before the run to where it leads
+    (with other letters in its address), and after the run."""
+    links_ = T.links(spark, folder).select("page_id", "url")
+    wrapped = links_.select("page_id", F.regexp_replace("url", "^https?://", "https://news.google.com/articles/").alias("url"))
+    to = links_.groupBy(F.regexp_replace("url", "^https?://", "").alias("path")).agg(F.min("page_id").alias("first"))
+    path, at = F.col("path"), T.run_ts()
+
+    def row(site, final, moment):
+        return to.select(F.concat(F.lit(site), path).alias("url"), final.alias("final_url"), moment.alias("fetched_at"))
+
+    final = F.concat(F.lit("https://Site-"), F.col("first") % 7, F.lit(".example.com/"), path)
+    redirects = (
+        row("https://news.google.com/articles/", F.lit("https://old.example.com/"), at - F.expr("INTERVAL 9 DAYS"))
+        .unionByName(row("HTTPS://News.Google.com/articles/", F.when(F.col("first") % 5 > 0, final), at - F.expr("INTERVAL 1 HOUR")))
+        .unionByName(row("https://news.google.com/articles/", F.lit("https://late.example.com/"), at + F.expr("INTERVAL 1 HOUR")))
+        .unionByName(row("https://news.google.com/articles/", F.lit("https://undated.example.com/"), F.lit(None).cast("timestamp")))
+    )
+    return jobs.resolve_redirects(wrapped, redirects, as_of=at)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         seen_urls, skip_seen, skip_stored, url_exists, incremental_seen, first_success_wins,
-        limit_per_source, pagination_stop, listing_cap,
+        limit_per_source, pagination_stop, listing_cap, listing_handover, redirects_as_of,
     )
 }
 
@@ -94,26 +150,45 @@ NUMBERED = f"""numbered AS (
   FROM pages JOIN hosts ON {Q.host('pages.url')} = hosts.host)"""
 
 
-def visits(candidates: str) -> str:
-    """Link by link what a listing run visits, from a CTE (source_seq, page_no, url, ok)."""
-    return f"""cand AS (
-  SELECT source_seq, page_no, list({{'url': url, 'ok': ok}} ORDER BY url) AS links FROM {candidates} GROUP BY ALL),
-walk(source_seq, page_no, picks, touched, saved) AS (
-  SELECT DISTINCT source_seq, -1::BIGINT, []::STRUCT(url VARCHAR, ok BOOLEAN)[], []::VARCHAR[], 0::BIGINT FROM cand
+# The last good link of a host, to which its links that end with e lead.
+TARGETS = f"""targets AS (
+  SELECT {Q.host('url')} AS host, max(regexp_replace(url, '^http:', 'https:')) AS target FROM all_links
+  WHERE NOT regexp_matches(regexp_extract(url, '//[^/]*(.*)$', 1), '[.,]') GROUP BY 1)"""
+LIMIT = f"CASE source_seq % 3 WHEN 0 THEN {CAP} WHEN 1 THEN {CAP - 1} END"
+
+
+def final_url(url: str) -> str:
+    return f"CASE WHEN ends_with({url}, 'e') THEN (SELECT target FROM targets WHERE host = {Q.host(url)}) ELSE {url} END"
+
+
+def walks(name: str, candidates: str, before: str | None = None) -> str:
+    """Click by click what listing sources visit, from a CTE (source_seq, grp, cap, page_no, url,
+    final_url, ok), as ``done_<name>``; of a group those of ``before`` have taken their turn."""
+    start, others = "[]::VARCHAR[]", ""
+    if before:
+        start, others = "coalesce(b.touched, [])", f"LEFT JOIN done_{before} b ON b.grp = l.grp"
+    return f"""lists_{name} AS (
+  SELECT source_seq, grp, any_value(cap)::BIGINT AS cap,
+    list({{'page_no': page_no, 'url': url, 'final_url': final_url, 'ok': ok}} ORDER BY page_no, url) AS links FROM {candidates} GROUP BY source_seq, grp),
+walk_{name}(source_seq, grp, cap, links, i, page_no, tried, saved, touched, visits, stop_page) AS (
+  SELECT l.source_seq, l.grp, l.cap, l.links, 0::BIGINT, -1::BIGINT, 0::BIGINT, 0::BIGINT, {start}, []::STRUCT(page_no BIGINT, url VARCHAR, ok BOOLEAN)[],
+    CASE WHEN l.cap <= 0 THEN 0::BIGINT END
+  FROM lists_{name} l {others}
   UNION ALL
-  SELECT source_seq, page_no, picks, list_concat(touched, list_transform(picks, lambda x: x.url)),
-    saved + len(list_filter(picks, lambda x: x.ok))
+  SELECT source_seq, grp, cap, links, i + 1, x.page_no, tried + visit::BIGINT, saved + (visit AND x.ok)::BIGINT,
+    CASE WHEN visit THEN list_concat(touched, CASE WHEN x.ok THEN [x.url, x.final_url] ELSE [x.url] END) ELSE touched END,
+    CASE WHEN visit THEN list_append(visits, {{'page_no': x.page_no, 'url': x.url, 'ok': x.ok}}) ELSE visits END,
+    coalesce(stop_page, CASE WHEN saved + (visit AND x.ok)::BIGINT >= cap THEN x.page_no END)
   FROM (
-    SELECT source_seq, page_no, touched, saved,
-      list_filter(fresh, lambda x, i: saved + len(list_filter(list_slice(fresh, 1, i - 1), lambda y: y.ok)) < {CAP}) AS picks
-    FROM (
-      SELECT walk.source_seq, walk.page_no + 1 AS page_no, touched, saved,
-        list_slice(list_filter(coalesce(cand.links, []), lambda x: NOT list_contains(touched, x.url)), 1, {CAP}) AS fresh
-      FROM walk LEFT JOIN cand ON cand.source_seq = walk.source_seq AND cand.page_no = walk.page_no + 1
-      WHERE walk.page_no + 1 < {PAGES}))),
-visited AS (SELECT source_seq, page_no, unnest(picks, recursive := true) FROM walk)"""
+    SELECT *, stop_page IS NULL AND NOT list_contains(touched, x.url) AND coalesce(tried < cap, true) AS visit
+    FROM (SELECT * REPLACE (CASE WHEN links[i + 1].page_no = page_no THEN tried ELSE 0 END AS tried), links[i + 1] AS x FROM walk_{name} WHERE i < len(links)))),
+done_{name} AS (SELECT * FROM walk_{name} WHERE i = len(links))"""
 
 
+_CANDIDATES = f"""found AS (
+  SELECT DISTINCT source_seq, page_no, url, {final_url('url')} AS final_url, NOT contains(url, ',') AS ok
+  FROM (SELECT page_id, regexp_replace(url, '^http:', 'https:') AS url FROM all_links) JOIN numbered USING (page_id) WHERE page_no < {PAGES})"""
+
 ORACLES = {
     "seen_urls": Q.with_(Q.JOBS) + "SELECT DISTINCT url FROM stored",
     "skip_seen": Q.with_(Q.JOBS)
@@ -148,12 +223,30 @@ WHERE place <= {CAP}""",
     "listing_cap": "WITH RECURSIVE "
     + ",\n".join(
         [
-            Q.HOSTS,
-            Q.LINKS,
-            NUMBERED,
-            "found AS (SELECT DISTINCT source_seq, page_no, url, NOT contains(url, ',') AS ok FROM all_links JOIN numbered USING (page_id))",
-            visits("found"),
+            Q.HOSTS, Q.LINKS, NUMBERED, TARGETS, _CANDIDATES,
+            f"turn AS (SELECT *, source_seq AS grp, {LIMIT} AS cap FROM found)",
+            walks("all", "turn"),
+        ]
+    )
+    + "\nSELECT source_seq, unnest(visits, recursive := true) FROM done_all",
+    "listing_handover": "WITH RECURSIVE "
+    + ",\n".join(
+        [
+            Q.HOSTS, Q.LINKS, NUMBERED, TARGETS, _CANDIDATES,
+            *[
+                f"turn{k} AS (SELECT * REPLACE (source_seq * 3 + {k} AS source_seq, {'4 - page_no' if k == 1 else 'page_no'} AS page_no), source_seq AS grp, {(CAP, 1, 4)[k]} AS cap FROM found),\n"
+                + walks(str(k), f"turn{k}", str(k - 1) if k else None)
+                for k in range(3)
+            ],
         ]
     )
-    + "\nSELECT source_seq, page_no, url, ok FROM visited",
+    + "\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT source_seq, array_to_string(list_transform(visits, lambda v: v.url), '|') AS urls, stop_page FROM done_{k} WHERE len(visits) > 0" for k in range(3)
+    ),
+    "redirects_as_of": Q.with_(
+        Q.LINKS, "paths AS (SELECT page_id, regexp_replace(url, '^https?://', '') AS path FROM all_links)"
+    )
+    + """SELECT DISTINCT page_id, 'https://site-' || (first % 7) || '.example.com/' || path AS url
+FROM (SELECT *, min(page_id) OVER (PARTITION BY path) AS first FROM paths) WHERE first % 5 > 0""",
 }

@@ -78,7 +78,7 @@ described AS (
   FROM snaps),
 facts AS (
   SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (PARTITION BY url ORDER BY content_hash DESC, snapshot_url DESC) AS place FROM described)
+    SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_url DESC) AS place FROM described)
   WHERE place = 1)"""
 
 JOBS = f"""{HOSTS},

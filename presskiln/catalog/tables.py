@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presskiln.functions.urls import normalize_url, url_host
+from presskiln.operators.fetch import ADDRESS
 from presskiln.operators.links import page_links
 from presskiln.operators.ranking import with_next_ids
-from presskiln.session import tune
+from presskiln.schemas import SNAPSHOTS
+from presskiln.session import tune, written_to
+from presskiln.sources.files import addressed, read_snapshots
 
 SCHEMAS = {
     "pages": "page_id long, url string, html string",
@@ -51,14 +54,21 @@ def plain(df: DataFrame) -> DataFrame:
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as snapshots; a page whose address has a fragment is a refusal page."""
     refused = F.replace(F.col("html"), F.lit("<title>"), F.lit("<title>Access Denied "))
-    return read(spark, folder, "pages").select(
+    return addressed(read(spark, folder, "pages")).select(
         "url",
         F.lit(None).cast("string").alias("final_url"),
         F.when(F.col("url").contains("#"), refused).otherwise(F.col("html")).alias("html"),
         run_ts().alias("fetched_at"),
+        *ADDRESS,
     )
 
 
+def stored_snapshots(rows: DataFrame) -> DataFrame:
+    """Snapshots as a table of their own, the form a run finds them in."""
+    names = SNAPSHOTS.names
+    return read_snapshots(rows.sparkSession, written_to(rows.select(*names), "snapshots"))
+
+
 def hosts(spark: SparkSession, folder: str) -> DataFrame:
     """Hosts of the pages as sources, with dense ids in their order."""
     names = read(spark, folder, "pages").select(url_host(F.col("url")).alias("host")).distinct()

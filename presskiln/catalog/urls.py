@@ -134,7 +134,7 @@ def resolve_redirects(spark, folder):
     final = F.when(lost, F.concat(F.lit("https://www.google.com/sorry?u="), F.col("page_id"))).otherwise(
         F.col("url")
     )
-    redirects = T.read(spark, folder, "pages").select(url.alias("url"), final.alias("final_url")).distinct()
+    redirects = T.read(spark, folder, "pages").select(url.alias("url"), final.alias("final_url"), F.lit(None).cast("timestamp").alias("fetched_at"))
     return jobs.resolve_redirects(T.page_jobs(spark, folder).select("source_id", "url"), redirects)
 
 

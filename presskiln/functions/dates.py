@@ -7,43 +7,94 @@ from pyspark.sql import functions as F
 
 from presskiln.functions.binding import let
 
-# Fixed value: a leading weekday name, which says nothing the date does not.
-_WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+"
-# Date layouts beyond the ISO forms that a cast reads, each with the shape of a
-# text it may be tried on: a failed try costs far more than the test of a shape. Pieces in
-# brackets may be absent.
-DATE_LAYOUTS = (
-    (r"^\d{8}(?!\d)", "yyyyMMdd['T'HHmmss[X]]"),
-    (r"^\d{4}/", "yyyy/M/d[ HH:mm[:ss]]"),
-    (r"^\d{1,2} [A-Za-z]{3} ", "d MMM yyyy[ HH:mm[:ss][ xx]]"),
-    (r"^\d{1,2} [A-Za-z]{4,} ", "d MMMM yyyy[ HH:mm[:ss][ xx]]"),
-    (r"^[A-Za-z]{3} \d", "MMM d[,] yyyy[ h:mm a]"),
-    (r"^[A-Za-z]{4,} \d", "MMMM d[,] yyyy[ h:mm a]"),
-    (r"^\d{1,2}/\d{1,2}/", "M/d/yyyy[ HH:mm[:ss]]"),
-    (r"^\d{1,2}/\d{1,2}/", "d/M/yyyy[ HH:mm[:ss]]"),
-    (r"^\d{1,2}-[A-Za-z]{3}-", "d-MMM-yyyy[ HH:mm[:ss]]"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy[ HH:mm[:ss]]"),
-    (r"^\d{4}\.\d", "yyyy.M.d[ HH:mm[:ss]]"),
-    (r"^\d{14}$", "yyyyMMddHHmmss"),
-)
 # Fixed value: the name of a zone behind a time, which is not looked at: the time is UTC.
-_ZONE_NAME = r"(:\d{2}) [A-Z]{3,4}$"
+_ZONE_NAME = r"(:\d{2}(?: ?[AaPp]\.?[Mm]\.?)?) [A-Z]{3,5}$| \([A-Z]{3,5}\)$"
+# Fixed value: digits without separators, as year, month and day, hour, minute and second.
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:t?(\d{2})(\d{2})(\d{2})?)?(?=z|[+-]|$)"
+# Fixed value: a time of day. Its pieces: hour, minute, second, fraction; half of the day; sign,
+# hours and minutes of an offset; or an hour alone with its half of the day.
+_TIME = (
+    r"(?<!\d)(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?(?:\s*([ap])\.?m\b\.?)?"
+    r"(?:\s*(?:z\b|utc|gmt)?\s*([+-])(\d{2}):?(\d{2})?(?!\d))?"
+    r"|(?<!\d)(\d{1,2})\s*([ap])\.?m\b\.?"
+)
+# Words of a date by kind. Any other word makes a text unreadable.
+_MONTH = (
+    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
+    "|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+)
+_FILLER = (
+    "(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?|st|nd|rd|th|t|z|utc|gmt|at|on|of|and"
+)
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def _day(words: Column, numbers: Column) -> Column:
+    """(year, month, day) from the words and numbers of a text; NULL where they make no date.
+
+    With a month's name the number of four digits is the year. Without, a year stands first or
+    last, and the month before the day unless only the other order makes a month.
+    """
+    month = F.get(F.filter(words, lambda w: w.rlike(f"^(?:{_MONTH})$")), F.lit(0))
+    named = F.floor((F.instr(F.lit(_MONTHS), F.substr(month, F.lit(1), F.lit(3))) + 2) / 3)
+    first, second, third = (F.get(numbers, F.lit(k)) for k in range(3))
+
+    def as_date(year, month, day):
+        return F.struct(year.cast("int").alias("y"), month.cast("int").alias("m"), day.cast("int").alias("d"))
+
+    def either(year, a, b):
+        swapped = a.cast("int") > 12
+        return as_date(year, F.when(swapped, b).otherwise(a), F.when(swapped, a).otherwise(b))
+
+    count, unknown = F.size(numbers), F.filter(words, lambda w: ~w.rlike(f"^(?:{_MONTH}|{_FILLER})$"))
+    short = F.forall(numbers, lambda n: (F.length(n) <= 2) | (F.length(n) == 4))
+    long_first, long_second, long_third = (F.length(n) == 4 for n in (first, second, third))
+    return F.when((F.size(unknown) > 0) | ~short, None).when(
+        month.isNotNull(),
+        F.when((count == 2) & long_first & ~long_second, as_date(first, named, second)).when(
+            (count == 2) & long_second & ~long_first, as_date(second, named, first)
+        ),
+    ).when(
+        (count == 3) & ~long_second,
+        F.when(long_first & ~long_third, either(first, second, third)).when(long_third & ~long_first, either(third, first, second)),
+    )
+
+
+def _moment(day: Column, piece) -> Column:
+    """Timestamp of a (year, month, day) and the pieces of a time, of which all may be ''."""
+    def number(k):
+        return F.coalesce(F.nullif(piece(k), F.lit("")).cast("int"), F.lit(0))
+
+    alone = piece(9) != ""
+    half = F.when(alone, piece(10)).otherwise(piece(5))
+    hour = F.when(alone, number(9)).otherwise(number(1))
+    hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+    seconds = F.concat(number(3).cast("string"), F.lit("."), piece(4), F.lit("0")).try_cast("decimal(8,6)")
+    stamp = F.try_make_timestamp(day["y"], day["m"], day["d"], hour, number(2), seconds)
+    offset = F.make_dt_interval(F.lit(0), number(7), number(8), F.lit(0))
+    return F.when(piece(6) == "", stamp).when(piece(6) == "+", stamp - offset).otherwise(stamp + offset)
 
 
 def parse_date(text: Column) -> Column:
-    """Timestamp written in ``text``; NULL where it has no four-digit year or no known layout.
+    """Timestamp written in ``text``; NULL where it holds no four-digit year or makes no date.
 
-    Text without an offset is read in the session time zone, which is UTC.
+    ISO forms are read by a cast. Any other text is taken apart: a time of day with its offset,
+    then words (names of months, what says nothing) and numbers. Text without an offset is read in
+    the session time zone, which is UTC.
     """
     def read(plain: Column) -> Column:
-        tries = [
-            F.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(layout)))
-            for shape, layout in DATE_LAYOUTS
-        ]
-        return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), *tries))
-
-    plain = F.regexp_replace(F.regexp_replace(F.trim(text), _WEEKDAY, ""), _ZONE_NAME, "$1")
-    return let(plain, read)
+        spaced = F.regexp_replace(F.lower(plain), _COMPACT, "$1-$2-$3 $4:$5:$6")
+        low = F.regexp_replace(spaced, r":+(?=$|[z+-])", "")
+        return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), let(low, pieces)))
+
+    def pieces(low: Column) -> Column:
+        rest = F.regexp_replace(low, _TIME, " ")
+        day = _day(F.regexp_extract_all(rest, F.lit("[a-z]+"), F.lit(0)), F.regexp_extract_all(rest, F.lit(r"\d+"), F.lit(0)))
+        time = F.array(*[F.regexp_extract(low, _TIME, k) for k in range(1, 11)])
+        strange = F.regexp_replace(rest, r"[\sa-z0-9,./:'-]+", "") != ""
+        return let(day, lambda d: F.when(d.isNotNull() & ~strange, let(time, lambda t: _moment(d, lambda k: t[k - 1]))))
+
+    return let(F.regexp_replace(F.trim(text), _ZONE_NAME, "$1"), read)
 
 
 def parse_iso(text: Column) -> Column:

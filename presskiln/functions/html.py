@@ -42,11 +42,6 @@ def extract_title(html: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(body, r"(?U)[\s\x1c-\x1f]+", " ")), F.lit(""))
 
 
-def tag_date_texts(html: Column) -> list[Column]:
-    """Texts of the dated tags, in order of preference; '' where a tag is missing."""
-    return [F.regexp_extract(html, tag, 1) for tag in DATED_TAGS]
-
-
 def json_ld_date_text(html: Column) -> Column:
     """Date text of the first JSON-LD object that carries one.
 
@@ -87,15 +82,22 @@ def published_at(html: Column) -> Column:
     """Publication date: the first readable of the dated tags and the JSON-LD text.
 
     One pass cuts the page down to the few tags that can hold a date; the patterns then run
-    on those. The texts are parsed inside one lambda, so the parser is part of the plan once
-    and not once per tag.
+    on those, one after another: what comes behind a readable date is not looked at.
     """
     dated = F.array_join(F.regexp_extract_all(html, F.lit(_DATED), F.lit(0)), ">")
 
     def first_date(tags: Column) -> Column:
-        texts = F.array(*tag_date_texts(tags), json_ld_date_text(tags))
-        dates = F.filter(F.transform(texts, parse_date), F.isnotnull)
-        return F.when(tags != "", F.get(dates, F.lit(0)))
+        # A condition only works out the branch it takes, and the parser is part of the plan twice,
+        # not once per tag.
+        def text(k: Column) -> Column:
+            return F.coalesce(*[F.when(k == n, F.regexp_extract(tags, tag, 1)) for n, tag in enumerate(DATED_TAGS)])
+
+        of_tags = F.aggregate(
+            F.sequence(F.lit(0), F.lit(len(DATED_TAGS) - 1)),
+            F.lit(None).cast("timestamp"),
+            lambda found, k: F.when(found.isNotNull(), found).otherwise(parse_date(text(k))),
+        )
+        return F.when(tags != "", F.coalesce(of_tags, parse_date(json_ld_date_text(tags))))
 
     return let(dated, first_date)
 

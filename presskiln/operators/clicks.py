@@ -2,103 +2,105 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presskiln.operators.skew import join_splittable
 from presskiln.session import cut_lineage
 
-_LINK = ["source_seq", "url"]
+_STEP = "struct<page_no: int, url: string, final_url: string, ok: boolean>"
 
 
-def _led_to(links: DataFrame) -> DataFrame:
-    """Pairs of links of a source of which the later one is where the earlier one leads."""
-    at = F.struct("page_no", "url")
-    leads = links.where(F.col("ok") & (F.col("final_url") != F.col("url"))).select(
-        "source_seq", F.col("url").alias("by"), F.col("final_url").alias("url"), at.alias("_by_at")
-    )
-    return (
-        leads.join(links.select(*_LINK, at.alias("_at")), _LINK)
-        .where(F.col("_by_at") < F.col("_at"))
-        .select("source_seq", "by", "url")
-        .distinct()
+def _visit(cap: Column):
+    """One step of a source: its next link, in order of page and URL."""
+
+    def step(at: Column, link: Column) -> Column:
+        tried = F.when(at["page_no"] == link["page_no"], at["tried"]).otherwise(0)
+        fresh = ~F.array_contains(at["touched"], link["url"])
+        visit = at["stop_page"].isNull() & fresh & (cap.isNull() | (tried < cap))
+        saved = at["saved"] + (visit & link["ok"]).cast("int")
+        # Without a cap a link stands in the list once, and only where links lead to can recur.
+        target = F.when(link["ok"] & (link["final_url"] != link["url"]), F.array(link["final_url"])).otherwise(F.array().cast("array<string>"))
+        touched = F.when(cap.isNull(), target).otherwise(F.array_append(target, link["url"]))
+        return F.struct(
+            link["page_no"].alias("page_no"),
+            (tried + visit.cast("int")).alias("tried"),
+            saved.alias("saved"),
+            F.when(visit, F.concat(at["touched"], touched)).otherwise(at["touched"]).alias("touched"),
+            F.when(visit, F.array_append(at["visits"], link)).otherwise(at["visits"]).alias("visits"),
+            F.coalesce(at["stop_page"], F.when(saved >= cap, link["page_no"])).alias("stop_page"),
+        )
+
+    return step
+
+
+def _start(cap: Column) -> Column:
+    return F.struct(
+        F.lit(-1).alias("page_no"), F.lit(0).alias("tried"), F.lit(0).alias("saved"),
+        F.array().cast("array<string>").alias("touched"), F.array().cast(f"array<{_STEP}>").alias("visits"),
+        F.when(cap <= 0, 0).cast("int").alias("stop_page"),
     )
 
 
-def without_redirect_targets(links: DataFrame) -> DataFrame:
-    """Links minus those that an earlier visited link of the source has already led to.
+def walk(links: DataFrame) -> DataFrame:
+    """One row per source: the ``visits`` of its run and the ``stop_page`` at which it had enough
+    (NULL: it went on to the end).
 
-    ``links`` holds (source_seq, page_no, url, final_url, ok). A link counts as visited
-    unless it is dropped itself, so chains of redirects are settled from their start; there
-    is one round per step of the longest chain, none without any.
+    ``links`` holds (source_seq, max_articles, page_no, url, final_url, ok). Pages are taken in order
+    and their links by URL; a visited link and the page it leads to are not visited again. With a
+    cap a source stops at that many successes and leaves a page after that many attempts; a cap of
+    0 or less visits nothing. A run is a fold over the links of its source, which come out of its
+    listing pages, one cell each.
     """
-    edges = cut_lineage(_led_to(links))
-    dropped = None
-    while not edges.isEmpty():
-        targets = edges.select("source_seq", F.col("url").alias("by")).distinct()
-        settled = cut_lineage(
-            edges.join(targets, ["source_seq", "by"], "left_anti").select(*_LINK).distinct()
-        )
-        dropped = settled if dropped is None else dropped.union(settled)
-        edges = cut_lineage(
-            edges.join(settled, _LINK, "left_anti").join(
-                settled.select("source_seq", F.col("url").alias("by")), ["source_seq", "by"], "left_anti"
-            )
-        )
-    return links if dropped is None else links.join(dropped, _LINK, "left_anti")
+    once = F.min("page_no").over(Window.partitionBy("source_seq", "url"))
+    needed = links.withColumn("_once", once).where(F.col("max_articles").isNotNull() | (F.col("page_no") == F.col("_once")))
+    link = F.struct("page_no", "url", "final_url", "ok").cast(_STEP)
+    lists = needed.groupBy("source_seq").agg(
+        F.first("max_articles").alias("max_articles"), F.array_sort(F.collect_list(link)).alias("links")
+    )
+    cap = F.col("max_articles")
+    run = F.aggregate("links", _start(cap), _visit(cap), lambda at: F.struct(at["visits"].alias("visits"), at["stop_page"].alias("stop_page")))
+    return lists.select("source_seq", run.alias("run")).select("source_seq", "run.*")
+
+
+def _touched(walks: DataFrame) -> DataFrame:
+    """URLs sources visited or were led to."""
+    visits = walks.select("source_seq", F.explode("visits").alias("visit")).select("source_seq", "visit.*")
+    return visits.select("source_seq", F.explode(F.when(F.col("ok"), F.array("url", "final_url")).otherwise(F.array("url"))).alias("url"))
 
 
-def visited_links(candidates: DataFrame, cap: int | None, pages: int) -> DataFrame:
-    """Links a listing run visits.
+def _mark(walks: DataFrame) -> tuple:
+    """Number and combined hash of all visits: equal for equal visits."""
+    visits = walks.select("source_seq", F.explode("visits").alias("visit"))
+    return tuple(visits.agg(F.count("*"), F.bit_xor(F.xxhash64("source_seq", "visit"))).first())
 
-    ``candidates`` holds (source_seq, page_no, url, final_url, ok) and more columns: the
-    links of every listing page that were not stored before. Pages are taken in order and
-    their links by URL; a visited link and the page it leads to are not visited again. With
-    a cap a source stops at ``cap`` successes and leaves a page after ``cap`` attempts; a cap
-    of 0 or less visits nothing.
 
-    Without a cap one aggregate settles all pages. With one, page n+1 depends on what page n
-    used up, so there is one step per page number for all sources together. A window covers
-    the links of one page of one source, which come out of one cell.
+def settled_walks(links: DataFrame) -> DataFrame:
+    """``walk`` of sources that take their turns in order: a link an earlier source touched is not
+    visited by later ones, and one it left to them under its cap is.
+
+    All sources walk at once, then again without what earlier ones touched, until nothing changes.
+    The first k sources are settled after k rounds at the latest; without a link that two sources
+    touch there is one.
     """
-    candidates = candidates.where(F.col("page_no") < pages)
-    if cap is not None and cap <= 0:
-        return candidates.where(F.lit(False))
-    candidates = cut_lineage(candidates)
-    if cap is None:
-        rest = [c for c in candidates.columns if c not in _LINK]
-        first = candidates.groupBy(*_LINK).agg(F.min_by(F.struct(*rest), "page_no").alias("_row"))
-        links = first.select(*_LINK, "_row.*").select(*candidates.columns)
-        return without_redirect_targets(cut_lineage(links))
-
-    redirected = not _led_to(candidates).isEmpty()
-    steps: list[DataFrame] = []
-    for page_no in range(pages):
-        links = candidates.where(F.col("page_no") == page_no)
-        if steps:
-            so_far = reduce(DataFrame.unionByName, steps)
-            touched = so_far.select(*_LINK).union(
-                so_far.where("ok").select("source_seq", F.col("final_url").alias("url"))
-            )
-            links = links.join(touched, _LINK, "left_anti")
-            saved = so_far.groupBy("source_seq").agg(F.count_if("ok").alias("_saved"))
-            links = links.join(saved, "source_seq", "left")
-        else:
-            links = links.withColumn("_saved", F.lit(0))
-        page = Window.partitionBy("source_seq", "page_no").orderBy("url")
-        ok_before = F.sum(F.col("ok").cast("int")).over(page.rowsBetween(Window.unboundedPreceding, -1))
-        if redirected:
-            links = without_redirect_targets(links)
-        visited = (
-            links.withColumns(
-                {"_place": F.row_number().over(page), "_ok_before": F.coalesce(ok_before, F.lit(0))}
-            )
-            .where(
-                (F.col("_place") <= cap)
-                & (F.coalesce("_saved", F.lit(0)) + F.col("_ok_before") < cap)
-            )
-            .select(*candidates.columns)
-        )
-        steps.append(cut_lineage(visited))
-    return reduce(DataFrame.unionByName, steps) if steps else candidates.where(F.lit(False))
+    links = cut_lineage(links.select("source_seq", "max_articles", "page_no", "url", "final_url", "ok"))
+    walks = cut_lineage(walk(links))
+    shared = _touched(walks).groupBy("url").agg(F.min("source_seq").alias("a"), F.max("source_seq").alias("b"))
+    if shared.where("a < b").isEmpty():
+        return walks
+    before = None
+    while before != (before := _mark(walks)):
+        first = _touched(walks).groupBy("url").agg(F.min("source_seq").alias("_by"))
+        left = join_splittable(links, first, "url", "left").where("_by is null or _by >= source_seq")
+        walks = cut_lineage(walk(left.select(*links.columns)))
+    return walks
+
+
+def visits_of(walks: DataFrame) -> DataFrame:
+    """(source_seq, page_no, url) of all visits."""
+    return walks.select("source_seq", F.explode("visits").alias("visit")).select("source_seq", "visit.page_no", "visit.url")
+
+
+def visited_links(candidates: DataFrame) -> DataFrame:
+    """Rows of ``candidates`` (as ``links`` of ``walk``, with more columns) that are visited."""
+    return candidates.join(visits_of(settled_walks(candidates)), ["source_seq", "page_no", "url"], "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.functions.urls import normalize_url
@@ -52,8 +52,9 @@ def first_success_wins(jobs: DataFrame, ok: str = "ok", order: str = "job_seq")
     )
 
 
-def limit_per_source(jobs: DataFrame, n: int | None, source: str = "source_id") -> DataFrame:
-    """First ``n`` jobs of a source by URL, before any seen filter; none or <= 0 is no limit."""
+def limit_per_source(jobs: DataFrame, n: int | str | None, source: str = "source_id") -> DataFrame:
+    """First ``n`` jobs of a source by URL, before any seen filter; none or <= 0 is no limit.
+    ``n`` may be a column of the jobs."""
     return top_n(jobs, [source], ["url"], n)
 
 
@@ -67,15 +68,34 @@ def grow_seen(seen: DataFrame, saved: DataFrame) -> DataFrame:
     return seen.select("url").union(saved.select("url")).distinct()
 
 
-def resolve_redirects(wrapped: DataFrame, redirects: DataFrame, dropped_text: str = "google.com") -> DataFrame:
+def latest_redirects(redirects: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Where every normalised link led when it was last followed, up to ``as_of``.
+
+    Rows without a time are the oldest; of equal times the greatest address counts, a failed
+    attempt (no final URL) before any. Combined before its shuffle.
+    """
+    at = F.coalesce("fetched_at", F.timestamp_seconds(F.lit(0)))
+    known = redirects if as_of is None else redirects.where(at <= as_of)
+    rows = known.select(normalize_url(F.col("url")).alias("url"), at.alias("_at"), normalize_url(F.col("final_url")).alias("_final"))
+    return (
+        rows.where(F.col("url").isNotNull())
+        .groupBy("url")
+        .agg(F.max(F.struct("_at", F.col("_final").isNull().alias("failed"), "_final")).alias("_last"))
+        .select("url", F.col("_last._final").alias("_final"))
+    )
+
+
+def resolve_redirects(
+    wrapped: DataFrame, redirects: DataFrame, dropped_text: str = "google.com", as_of: Column | None = None
+) -> DataFrame:
     """Final, normalised URL of wrapped links; unresolved ones and those of the search site go.
 
-    ``dropped_text`` is looked for anywhere in the final URL. Distinct per other columns.
+    Of several rows of a link the latest counts, up to ``as_of``. ``dropped_text`` is looked for
+    anywhere in the final URL. Distinct per other columns.
     """
-    final = redirects.select("url", normalize_url(F.col("final_url")).alias("_final"))
     rest = [c for c in wrapped.columns if c != "url"]
     return (
-        join_splittable(wrapped, final, "url", "inner")
+        join_splittable(wrapped, latest_redirects(redirects, as_of), "url", "inner")
         .where(F.col("_final").isNotNull() & ~F.col("_final").contains(dropped_text))
         .select(*rest, F.col("_final").alias("url"))
         .distinct()

@@ -10,8 +10,9 @@ from presskiln.functions import urls as U
 from presskiln.operators.skew import join_splittable
 
 
-def listing_pages(df: DataFrame, url: str, max_pages: int, pattern: str = U.LISTING_PAGE) -> DataFrame:
+def listing_pages(df: DataFrame, url: str, max_pages: int | str, pattern: str = U.LISTING_PAGE) -> DataFrame:
     """Addresses of the pages of a listing, as ``listing_url`` with its ``page_no`` from 0.
+    ``max_pages`` is a number or a column.
 
     A numbered listing gives ``max_pages`` consecutive pages and loses what follows the
     number; any other address gives itself.
@@ -19,7 +20,8 @@ def listing_pages(df: DataFrame, url: str, max_pages: int, pattern: str = U.LIST
     start = df.withColumn("_start", U.normalize_url(F.col(url)))
     found = F.col("_start").rlike(pattern)
     # sequence() counts down when its end is below its start, hence the guard.
-    numbers = F.sequence(F.lit(0), F.lit(max_pages - 1)) if max_pages > 0 else F.array().cast("array<int>")
+    most = F.col(max_pages) if isinstance(max_pages, str) else F.lit(max_pages)
+    numbers = F.when(most > 0, F.sequence(F.lit(0), most - 1)).otherwise(F.array().cast("array<int>"))
     pages = start.withColumn(
         "page_no", F.explode(F.when(found, numbers).otherwise(F.array(F.lit(0))))
     )
@@ -44,35 +46,41 @@ def page_hrefs(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def article_links(html: Column, base: Column, domain: str, marker: str) -> Column:
+    """Array of the distinct article links of a page; ``base`` holds the parts of its address.
+
+    Links are resolved, tested and made distinct inside the row, before they become rows of
+    their own: there is no shuffle, and a test behind the explode would have Spark resolve
+    each link once more for the pushed-down filter.
+    """
+    hrefs = F.filter(H.anchors(html), lambda quoted: quoted != "")
+    resolved = F.transform(hrefs, lambda quoted: U.resolve_against(base, H.unquote_href(quoted)))
+    return F.array_distinct(F.filter(resolved, lambda url: url.isNotNull() & U.is_article_url(url, domain, marker)))
+
+
+def wrapped_links(html: Column) -> Column:
+    """Array of the distinct wrapped article links of a search page."""
+    wrapped = F.filter(H.anchors(html), lambda quoted: H.unquote_href(quoted).contains(H.WRAPPED_ARTICLE))
+    urls = F.transform(wrapped, lambda quoted: U.unwrap_href(H.unquote_href(quoted)))
+    return F.filter(F.array_distinct(urls), F.isnotnull)
+
+
 def page_links(
     pages: DataFrame,
     base: str,
     domain: str = U.ARTICLE_DOMAIN,
     marker: str = U.ARTICLE_MARKER,
 ) -> DataFrame:
-    """Distinct article links of every page row, resolved against column ``base``.
-
-    Links are resolved, tested and made distinct inside the row, before they become rows of
-    their own: there is no shuffle, and a test behind the explode would have Spark resolve
-    each link once more for the pushed-down filter.
-    """
+    """Distinct article links of every page row, resolved against column ``base``."""
     rest = [c for c in pages.columns if c != "html"]
-    hrefs = F.filter(H.anchors(F.col("html")), lambda quoted: quoted != "")
-    resolved = F.transform(hrefs, lambda quoted: U.resolve_against(F.col("_base"), H.unquote_href(quoted)))
-    wanted = F.filter(resolved, lambda url: url.isNotNull() & U.is_article_url(url, domain, marker))
     split = pages.withColumn("_base", U.url_parts(F.col(base)))
-    return split.select(*rest, F.explode(F.array_distinct(wanted)).alias("url"))
+    return split.select(*rest, F.explode(article_links(F.col("html"), F.col("_base"), domain, marker)).alias("url"))
 
 
 def search_result_links(pages: DataFrame) -> DataFrame:
     """Wrapped article links of search pages, distinct over pages with equal other columns."""
     rest = [c for c in pages.columns if c != "html"]
-    wrapped = F.filter(
-        H.anchors(F.col("html")), lambda quoted: H.unquote_href(quoted).contains(H.WRAPPED_ARTICLE)
-    )
-    urls = F.transform(wrapped, lambda quoted: U.unwrap_href(H.unquote_href(quoted)))
-    known = F.filter(F.array_distinct(urls), F.isnotnull)
-    return pages.select(*rest, F.explode(known).alias("url")).distinct()
+    return pages.select(*rest, F.explode(wrapped_links(F.col("html"))).alias("url")).distinct()
 
 
 def search_urls(sources: DataFrame, terms: str = "terms") -> DataFrame:

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from presskiln.session import cut_lineage
 
-# Up to this n a group is cut down by windows over salted parts of it; Spark drops the rest
-# before the shuffle. Beyond it rows are placed by a global range sort.
-WINDOW_TOP_N = 1000
+# Parts a group is cut into before its rows are placed.
 SALTS = 32
 
 
@@ -61,14 +59,23 @@ def with_next_ids(
     return rows.select(*new.columns, (F.col("_rank") + top).alias(id_column))
 
 
-def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int | None) -> DataFrame:
-    """First ``n`` rows of every group; all rows where ``n`` is missing or not positive."""
-    if n is None or n <= 0:
-        return df
-    if n > WINDOW_TOP_N:
-        return ranked(df, order, group, "_rank").where(F.col("_rank") <= n).select(*df.columns)
+def cut_parts(df: DataFrame, group: Sequence[str], order: Sequence[str], bound: Column) -> DataFrame:
+    """Rows that may be among the first of their group: the first ones of its salted parts."""
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
-    for keys in ([*group, "_salt"], list(group)):
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        salted = salted.withColumn("_place", place).where(F.col("_place") <= n)
-    return salted.select(*df.columns)
+    place = F.row_number().over(Window.partitionBy(*group, "_salt").orderBy(*order))
+    return salted.withColumn("_place", place).where(F.col("_place") <= bound).select(*df.columns)
+
+
+def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int | str | None) -> DataFrame:
+    """First ``n`` rows of every group, a number or a column that is equal within a group; all rows
+    where it is missing or not positive.
+
+    Salted parts of a group are cut to ``n`` rows first, of which Spark drops the rest before the
+    shuffle; what is left is placed by a range sort, so no group has to fit a task.
+    """
+    if n is None or isinstance(n, int) and n <= 0:
+        return df
+    bound = F.col(n) if isinstance(n, str) else F.lit(n)
+    cut = cut_parts(df.where(bound > 0), group, order, bound)
+    first = ranked(cut, order, group, "_rank").where(F.col("_rank") <= bound).select(*df.columns)
+    return first.unionByName(df.where(bound.isNull() | (bound <= 0))) if isinstance(n, str) else first

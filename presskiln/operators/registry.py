@@ -13,30 +13,44 @@ DIRECT, LISTING, SEARCH = "direct", "link_page", "google_news"
 DEFAULT_TERM = "online safety"
 DEFAULT_FREQUENCY = "daily"
 UNKNOWN_ROBOTS = "unknown"
+MAX_PAGES = 5
+# Settings of a registry document that its sources carry.
+LIMITS = ("max_pages", "max_articles")
 
 
 def registry_entries(registry: DataFrame) -> DataFrame:
     """One row per configured source, direct ones first, in the order of the lists.
 
-    ``source_seq`` is that order, ``terms`` the terms a search source uses, ``problem`` what
-    keeps a source from running (NULL if nothing does).
+    ``source_seq`` is that order, ``terms`` the terms a search source uses, ``max_pages`` and
+    ``max_articles`` the settings of its document, ``problem`` what keeps a source from running
+    (NULL if nothing does).
     """
-    document = registry.withColumn("registry_seq", F.monotonically_increasing_id())
+    document = registry.withColumn("registry_seq", F.monotonically_increasing_id()).withColumns(
+        {
+            "max_pages": F.coalesce("settings.max_listing_pages", F.lit(MAX_PAGES)),
+            "max_articles": F.col("settings.max_articles_per_source"),
+        }
+    )
     return entries_from_lists(
         document.select(
-            "registry_seq", "search_terms", F.posexplode("direct_sources").alias("list_seq", "item")
-        ).select("registry_seq", "search_terms", "list_seq", "item.*"),
+            "registry_seq", *LIMITS, F.posexplode("direct_sources").alias("list_seq", "item")
+        ).select("registry_seq", *LIMITS, "list_seq", "item.*"),
         document.select(
             "registry_seq",
+            *LIMITS,
             F.col("search_terms").alias("shared_terms"),
             F.posexplode("meta_sources").alias("list_seq", "item"),
-        ).select("registry_seq", "shared_terms", "list_seq", "item.*"),
+        ).select("registry_seq", *LIMITS, "shared_terms", "list_seq", "item.*"),
     )
 
 
 def entries_from_lists(direct: DataFrame, meta: DataFrame) -> DataFrame:
-    """Union of both lists under one order, with defaults, base address and problems."""
+    """Union of both lists under one order, with defaults, base address and problems.
+
+    Limits of a list are handed on where it has them.
+    """
     common = ("name", "type", "url", "terms", "enabled", "scrape_frequency", "base_url")
+    limits = [c for c in LIMITS if c in meta.columns]
     enabled = F.coalesce("enabled", F.lit(True)).alias("enabled")
     frequency = F.coalesce("scrape_frequency", F.lit(DEFAULT_FREQUENCY)).alias("scrape_frequency")
     order = F.struct(F.lit(0).alias("part"), "registry_seq", "list_seq")
@@ -48,6 +62,7 @@ def entries_from_lists(direct: DataFrame, meta: DataFrame) -> DataFrame:
         F.lit(None).cast("array<string>").alias("terms"),
         enabled,
         frequency,
+        *limits,
         normalize_url(F.col("url")).alias("base_url"),
     )
     own = F.coalesce("search_terms", F.array().cast("array<string>"))
@@ -61,6 +76,7 @@ def entries_from_lists(direct: DataFrame, meta: DataFrame) -> DataFrame:
         F.when(F.col("type") == SEARCH, terms).alias("terms"),
         enabled,
         frequency,
+        *limits,
         normalize_url(
             F.when(F.col("type") == SEARCH, build_search_url(first_term)).when(
                 F.col("url") != "", F.col("url")
@@ -73,7 +89,7 @@ def entries_from_lists(direct: DataFrame, meta: DataFrame) -> DataFrame:
         .when(~F.col("type").isin(DIRECT, LISTING, SEARCH), "unsupported type")
     )
     both = direct_rows.unionByName(meta_rows)
-    return both.select("entry_order", *common, problem.alias("problem"))
+    return both.select("entry_order", *common, *limits, problem.alias("problem"))
 
 
 def enabled_sources(entries: DataFrame) -> DataFrame:

@@ -62,6 +62,11 @@ def run_errors(results: DataFrame, run: str = "run_id", order: str = "job_seq")
     return error_texts(error_parts(results, run, order), run)
 
 
+def with_errors(log: DataFrame, parts: DataFrame) -> DataFrame:
+    """The run log with the errors of each run as one text, for those who read it so."""
+    return log.drop("error_message").join(error_texts(parts), "run_id", "left").select(*log.columns)
+
+
 def finish_runs(opened: DataFrame, closing: DataFrame, finished_at: Column) -> DataFrame:
     """Runs with the status and error text of their ``closing`` row, and its finishing time."""
     return update_rows(

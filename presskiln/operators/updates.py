@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from presskiln.session import cut_lineage
+
+# Folder name and number of the parts a table is updated by.
+BUCKET, KEY_BUCKETS = "key_bucket", 256
 
 
 def conform(rows: DataFrame, schema: StructType) -> DataFrame:
@@ -49,3 +54,31 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """Child rows whose foreign key has no parent row."""
     keys = parent.select(F.col(parent_key).alias(child_key))
     return child.join(keys, child_key, "left_anti")
+
+
+def write_bucketed(table: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS) -> None:
+    """Rows in folders by a hash of their key, so that an update finds them."""
+    _by_bucket(table, key, buckets).write.partitionBy(BUCKET).parquet(path)
+
+
+def update_bucketed(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> None:
+    """``update_rows`` on a table of ``write_bucketed``: only folders that hold a key of
+    ``updates`` are read and replaced, the others stay as they are.
+
+    The new rows are checkpointed before a folder is replaced: they come from it. An update that
+    dies half-way is run again with equal results.
+    """
+    touched = [r[0] for r in updates.select(_bucket(key, buckets)).distinct().collect()]  # at most ``buckets`` numbers
+    whole = StructType([*schema.fields, StructField(BUCKET, IntegerType())])
+    table = spark.read.schema(whole).parquet(path)
+    rows = cut_lineage(update_rows(table.where(F.col(BUCKET).isin(touched)).drop(BUCKET), updates, key))
+    _by_bucket(rows, key, buckets).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _by_bucket(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    # A bucket may span several files: its rows are dealt out again by the key.
+    return rows.withColumn(BUCKET, _bucket(key, buckets)).repartition(BUCKET, F.pmod(F.hash(key), F.lit(8)))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from presskiln.functions.content import raw_path
 from presskiln.operators.ranking import with_next_ids
+from presskiln.operators.updates import conform
+from presskiln.schemas import ARTICLES
 
 
 def article_rows(
@@ -17,15 +19,5 @@ def article_rows(
     """Article rows of saved pages with ids that go on from ``articles``, in ``order``."""
     needed = dict.fromkeys(["source_id", "url", "title", "published_at", "content_hash", *order])
     numbered = with_next_ids(saved.select(*needed), order, "article_id", articles)
-    day = F.to_date(scraped_at)
-    return numbered.select(
-        "article_id",
-        "source_id",
-        "url",
-        "title",
-        "published_at",
-        scraped_at.alias("scraped_at"),
-        "content_hash",
-        raw_path(F.col("source_id"), day, F.col("content_hash")).alias("s3_raw_html_path"),
-        F.lit(None).cast("string").alias("s3_text_path"),
-    )
+    path = raw_path(F.col("source_id"), F.to_date(scraped_at), F.col("content_hash"))
+    return conform(numbered.withColumns({"scraped_at": scraped_at, "s3_raw_html_path": path}), ARTICLES)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from presskiln.operators import fetch, jobs, ranking, registry, runs
 from presskiln.operators.skew import join_splittable
+from presskiln.operators.updates import conform
 from presskiln.plans import runs as R
 from presskiln.plans.articles import article_rows
+from presskiln.schemas import RESULTS
 from presskiln.session import cut_lineage, tune
 from presskiln.sources.raw_html import stage_raw_html
 from presskiln.sources.store import ArticleStore
@@ -32,39 +34,31 @@ def utc(moment: datetime) -> Column:
     return F.lit(moment.isoformat()).cast("timestamp")
 
 
-def settings_of(registry_table: DataFrame, base: R.Settings = R.Settings()) -> R.Settings:
-    """Settings of the registry document; missing ones stay as in ``base``.
-
-    Several documents are refused: the settings of one must not rule the sources of another.
-    """
-    rows = registry_table.select("settings.max_listing_pages", "settings.max_articles_per_source").limit(2).collect()
-    if len(rows) > 1:
-        raise ValueError("the registry holds several documents: pass settings")
-    if not rows:
-        return base
-    row = rows[0]
-    pages = base.max_listing_pages if row[0] is None else row[0]
-    return replace(base, max_listing_pages=pages, max_articles=row[1])
-
-
 def plan_results(
     sources: DataFrame,
     snapshots: DataFrame,
     redirects: DataFrame,
     seen: DataFrame,
     settings: R.Settings,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Results of all jobs of all sources: saved pages and errors, in job order.
 
-    The facts of the pages and the results are checkpointed: both are narrow and are read
-    several times, while the text they come from is read once.
+    Keys come first: the URLs of searches and listings pick their snapshots by narrow columns, then
+    the text of those is read for its links; the links that are not stored pick theirs, and only
+    the text of those is read for titles, dates and hashes.
     """
-    facts = cut_lineage(fetch.one_per_url(fetch.page_facts(snapshots)))
-    searched, failed_searches = R.search_jobs(sources, facts, snapshots, redirects, settings)
-    fixed = cut_lineage(R.run_fixed(R.direct_jobs(sources).unionByName(searched), facts, seen))
+    read = cut_lineage(R.expanded(cut_lineage(R.link_pages(sources)), snapshots, settings))
+    found = cut_lineage(R.listing_links(read))
+    due = R.direct_jobs(sources).unionByName(R.search_jobs(read, redirects, as_of))
+    due = cut_lineage(jobs.skip_seen(due, seen))
+    fresh = cut_lineage(jobs.skip_seen(found, seen))
+    wanted = due.select("url").union(fresh.select("url"))
+    facts = cut_lineage(fetch.wanted_facts(wanted, snapshots))
+
+    fixed = cut_lineage(R.run_fixed(due, facts))
     taken = fixed.where("ok").groupBy("url").agg(F.min("source_seq").alias("source_seq"))
-    found, failed_listings = R.listing_links(sources, facts, snapshots, settings)
-    visited = R.run_listing(found, facts, seen, taken, settings)
+    visited, walks = R.run_listing(fresh, facts, taken)
 
     # Search jobs leave alone what a listing source before them visited or was led to.
     touched = visited.select("url", "source_seq").union(
@@ -81,7 +75,7 @@ def plan_results(
         .drop("_touched_by")
     )
 
-    page = ["title", "published_at", "content_hash", "snapshot_url", "fetched_at"]
+    page = ["title", "published_at", "content_hash", *fetch.ADDRESS]
     saved = (
         fixed.select(*R.RUN, "page_no", F.col("url").alias("job_url"), "url", "error", *page)
         .unionByName(
@@ -91,13 +85,13 @@ def plan_results(
             )
         )
     )
-    failed = failed_searches.unionByName(failed_listings).withColumn("job_url", F.col("url"))
+    failed = R.failed_pages(read, walks).withColumn("job_url", F.col("url"))
     # The page a job was found on comes before the job.
     everything = saved.withColumn("step", F.lit(1)).unionByName(
         failed.withColumn("step", F.lit(0)), allowMissingColumns=True
     )
     order = ["source_seq", "page_no", "step", "job_url"]
-    return ranking.ranked(everything, order, name="job_seq").drop("step")
+    return conform(ranking.ranked(everything, order, name="job_seq"), RESULTS)
 
 
 def ingest(
@@ -107,16 +101,16 @@ def ingest(
     store: ArticleStore,
     run_ts: datetime,
     batch: str,
-    settings: R.Settings | None = None,
+    settings: R.Settings = R.Settings(),
 ) -> Ingest:
     """Run every enabled source of the registry once and write all tables.
 
-    One bad page never loses others: each job has its own outcome. ``run_ts`` stands for the
-    current time throughout, so a run can be repeated with equal results. A batch that is
+    One bad page never loses others: each job has its own outcome. Limits come from the settings of
+    the document a source is in. ``run_ts`` stands for the current time throughout, so a run can be
+    repeated with equal results, and redirects followed later are not looked at. A batch that is
     already committed writes nothing.
     """
     spark = tune(registry_table.sparkSession)
-    settings = settings or settings_of(registry_table)
     now = utc(run_ts)
 
     entries = cut_lineage(
@@ -124,8 +118,7 @@ def ingest(
     )
     problems = entries.where(F.col("problem").isNotNull())
     if store.is_committed(batch, "articles"):
-        done = spark.createDataFrame([], "run_id long, source_id long, url string, error string")
-        return Ingest(problems, done)
+        return Ingest(problems, spark.createDataFrame([], RESULTS))
 
     valid = entries.where(F.col("problem").isNull())
     # Every configured source with an address is kept up to date; only valid ones are run.
@@ -133,7 +126,7 @@ def ingest(
     enabled = registry.with_source_ids(registry.enabled_sources(valid), sources)
     active = cut_lineage(
         ranking.with_next_ids(
-            enabled.select("source_seq", "source_id", "type", "base_url", "url", "terms"),
+            enabled.select("source_seq", "source_id", "type", "base_url", "url", "terms", *registry.LIMITS),
             ["source_seq"],
             "run_id",
             store.read("scrape_runs"),
@@ -149,11 +142,12 @@ def ingest(
 
     articles = store.read("articles")
     results = cut_lineage(
-        plan_results(active, snapshots, redirects, jobs.seen_urls(articles), settings)
+        plan_results(active, snapshots, redirects, jobs.seen_urls(articles), settings, now)
     )
     saved = results.where(F.col("error").isNull())
     parts = cut_lineage(runs.error_parts(results))
-    closing = runs.run_outcomes(active, results).join(runs.error_texts(parts), "run_id", "left")
+    # The errors of a run stay in pieces; who wants them as one text joins them (runs.with_errors).
+    closing = runs.run_outcomes(active, results).withColumn("error_message", F.lit(None).cast("string"))
     store.commit(
         stage_raw_html(store, saved, snapshots, now, batch),
         store.stage("articles", article_rows(saved, ["job_seq"], now, articles), batch),

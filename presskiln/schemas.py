@@ -29,6 +29,7 @@ SCRAPE_RUNS = _table(
     ("error_message", _S),
 )
 
+# Names and order of the columns of the article table.
 ARTICLES = _table(
     ("article_id", _L),
     ("source_id", _L),
@@ -75,9 +76,27 @@ TABLES = {
     "run_error_parts": RUN_ERROR_PARTS,
 }
 
+# What became of every job of an ingest, in job order.
+RESULTS = _table(
+    ("job_seq", _L),
+    ("source_seq", _L),
+    ("run_id", _L),
+    ("source_id", _L),
+    ("page_no", T.IntegerType()),
+    ("job_url", _S),
+    ("url", _S),
+    ("error", _S),
+    ("title", _S),
+    ("published_at", _TS),
+    ("content_hash", _S),
+    ("page_file", _S),
+    ("page_row", _L),
+)
+
 SNAPSHOTS = _table(("url", _S), ("final_url", _S), ("html", _S), ("fetched_at", _TS))
 
-REDIRECTS = _table(("url", _S), ("final_url", _S))
+# Where a link led when it was followed; a row without a time counts as the oldest.
+REDIRECTS = _table(("url", _S), ("final_url", _S), ("fetched_at", _TS))
 
 REGISTRY = _table(
     ("search_terms", T.ArrayType(_S)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,20 +31,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session that names none gets one below
-    its warehouse; on a cluster a missing folder is an error, because a machine-local one would
-    be lost with its executor.
+    Only a local session that names none gets one below its warehouse; on a cluster a missing
+    folder is an error, because a machine-local one would be lost with its executor.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder of the cluster."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not re.match(r"local($|\[)", context.master):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written_to(df: DataFrame, name: str) -> str:
+    """Path of a new table in the shared folder that holds the rows."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path

@@ -14,21 +14,26 @@ def scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[table])
+def addressed(pages: DataFrame) -> DataFrame:
+    """Rows of Parquet files with the file and the row there each comes from, which lead back to
+    a page's text once it is known which texts are needed. Both cost nothing to read."""
+    return pages.select(
+        "*", F.col("_metadata.file_path").alias("page_file"), F.col("_metadata.row_index").alias("page_row")
+    )
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    return scan(spark, path, SNAPSHOTS)
+    return addressed(scan(spark, path, SNAPSHOTS))
 
 
 def read_redirects(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path, REDIRECTS)
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Registry document; a missing list or an empty file gives no sources."""
-    return spark.read.schema(REGISTRY).json(path, multiLine=True)
+def read_registry(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Registry documents, one per file or, with ``lines``, one per line, each with its own
+    settings; a missing list or an empty file gives no sources."""
+    return spark.read.schema(REGISTRY).json(path, multiLine=not lines)
 
 
 def csv_rows(rows: DataFrame) -> DataFrame:

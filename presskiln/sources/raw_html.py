@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.functions.content import raw_path
-from presskiln.operators.fetch import page_texts
+from presskiln.operators.fetch import ADDRESS, page_texts
+from presskiln.session import cut_lineage
 from presskiln.sources.store import ArticleStore
 
 KEY = ["source_id", "scrape_date", "content_hash"]
@@ -31,7 +32,7 @@ def pages_to_store(saved: DataFrame, stored: DataFrame, scraped_at: Column) -> D
     """
     day = F.to_date(scraped_at)
     chosen = saved.groupBy("source_id", "content_hash").agg(
-        F.min(F.struct("snapshot_url", "fetched_at")).alias("at")
+        F.min(F.struct(*ADDRESS)).alias("at")
     )
     dated = chosen.select("source_id", day.alias("scrape_date"), "content_hash", "at.*")
     return dated.join(stored.select(*KEY), KEY, "left_anti")
@@ -48,7 +49,7 @@ def stage_raw_html(
     any size is spread over all files.
     """
     stored = store.read("raw_html").where(F.col("scrape_date") == F.to_date(scraped_at))
-    texts = page_texts(pages_to_store(saved, stored, scraped_at), snapshots)
+    texts = page_texts(cut_lineage(pages_to_store(saved, stored, scraped_at)), snapshots)
     path = raw_path(F.col("source_id"), F.col("scrape_date"), F.col("content_hash"))
     rows = texts.withColumn("s3_raw_html_path", path)
     return store.stage(

@@ -9,33 +9,60 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from presskiln.operators import fetch, jobs
+from presskiln.operators import fetch, jobs, ranking, runs
+from presskiln.operators.skew import join_splittable
 from presskiln.plans.articles import article_rows
 from presskiln.plans.ingest import utc
 from presskiln.schemas import SNAPSHOTS
 from presskiln.session import cut_lineage, tune
+from presskiln.sources.files import addressed
 from presskiln.sources.raw_html import stage_raw_html
 from presskiln.sources.store import ArticleStore
 
 ARRIVALS = StructType([StructField("source_id", LongType()), *SNAPSHOTS.fields])
 
 
-def ingest_snapshots(arrived: DataFrame, store: ArticleStore, run_ts: datetime, batch: str) -> None:
-    """Store the articles of one slice of snapshots; a committed batch does nothing.
+def slice_results(arrived: DataFrame, seen: DataFrame) -> DataFrame:
+    """What becomes of the snapshots of a slice: the earliest good one of every URL that is not
+    stored is saved; a refused one that came before it, or where there is none, is an error.
 
-    Of several snapshots of a URL the earliest good one counts, so slices taken in the order
-    of fetching give what one run over all of them gives.
+    Every snapshot is judged by those before it alone, so slices taken in the order of fetching
+    give what one run over all of them gives. Text is read once, in the scan.
     """
+    facts = fetch.page_facts(arrived, keep=("source_id",)).where(F.col("url").isNotNull())
+    facts = cut_lineage(join_splittable(facts, seen.select("url").distinct(), "url", "left_anti"))
+    saved = fetch.one_per_url(facts.where(~F.col("denied")), latest=False)
+    good = saved.select("url", F.col("fetched_at").alias("_good_at"))
+    refused = join_splittable(facts.where("denied"), good, "url", "left").where("_good_at is null or fetched_at < _good_at")
+    kept = ["source_id", "url", "fetched_at", "snapshot_url", "title", "published_at", "content_hash", *fetch.ADDRESS]
+    reason = fetch.error(F.lit(True), F.col("denied"))
+    return saved.select(*kept, F.lit(None).cast("string").alias("error")).unionByName(refused.select(*kept, reason.alias("error")))
+
+
+def ingest_snapshots(arrived: DataFrame, store: ArticleStore, run_ts: datetime, batch: str) -> None:
+    """Store the articles of one slice of snapshots, with a run for each source in it and its
+    outcome; a committed batch does nothing. Everything becomes visible at once."""
     if store.is_committed(batch, "articles"):
         return
     tune(arrived.sparkSession)
     now = utc(run_ts)
     articles = store.read("articles")
-    facts = fetch.page_facts(arrived, keep=("source_id",)).where(~F.col("denied"))
-    fresh = fetch.one_per_url(facts, latest=False).join(jobs.seen_urls(articles), "url", "left_anti")
-    fresh = cut_lineage(fresh)
-    rows = store.stage("articles", article_rows(fresh, ["source_id", "url"], now, articles), batch)
-    store.commit(rows, stage_raw_html(store, fresh, arrived, now, batch))
+    results = cut_lineage(
+        ranking.ranked(
+            slice_results(arrived, jobs.seen_urls(articles)), ["source_id", "url", "fetched_at", "snapshot_url", *fetch.ADDRESS], name="job_seq"
+        )
+    )
+    active = arrived.select("source_id").where(F.col("source_id").isNotNull()).distinct()
+    active = cut_lineage(ranking.with_next_ids(active, ["source_id"], "run_id", store.read("scrape_runs")))
+    results = results.join(active, "source_id", "left")
+    saved = results.where(F.col("error").isNull())
+    closing = runs.run_outcomes(active, results).withColumn("error_message", F.lit(None).cast("string"))
+    store.commit(
+        store.stage("articles", article_rows(saved, ["source_id", "url"], now, articles), batch),
+        stage_raw_html(store, saved, arrived, now, batch),
+        store.stage("run_error_parts", runs.error_parts(results), batch),
+        store.stage("scrape_runs", runs.finish_runs(runs.open_runs(active, now), closing, now), batch),
+    )
 
 
 def start(
@@ -61,7 +88,7 @@ def start(
         ingest_snapshots(arrived, store, run_ts, f"stream-{batch_id:012d}")
 
     return (
-        reader.parquet(folder)
+        addressed(reader.parquet(folder))
         .writeStream.foreachBatch(take_in)
         .option("checkpointLocation", state_folder)
         .trigger(availableNow=True)

@@ -121,48 +121,75 @@ def test_title(spark):
 LD = '<script id="x" type="application/ld+json">{}</script>'
 
 
-@pytest.mark.parametrize(
-    "page, expected",
-    [
-        ('<meta property="article:published_time" content="2024-03-15T10:30:00+00:00">', datetime(2024, 3, 15, 10, 30)),
-        ('<META name="PubDate" x content=\'15 March 2024\'>', datetime(2024, 3, 15)),
-        ('<meta name="publish-date" content="20240315">', datetime(2024, 3, 15)),
-        ('<time class="a" datetime="2024-03-15T12:00:00+02:00">', datetime(2024, 3, 15, 10)),
-        ('<meta property="article:published_time" content="soon"><time datetime="2021-05-06">', datetime(2021, 5, 6)),
-        ('<time datetime="2021-05-06"><meta name="pubdate" content="2020-01-01">', datetime(2020, 1, 1)),
-        ('<meta content="2024-01-01" name="pubdate">', None),
-        (LD.format('{"datePublished": "2023-01-02T08:00:00Z"}'), datetime(2023, 1, 2, 8)),
-        (LD.format('[1, {"a": 2}, {"datePublished": "", "dateCreated": "2023-01-02"}]'), datetime(2023, 1, 2)),
-        (LD.format('{"datePublished": 20230102}'), None),
-        (LD.format('{"datePublished": 0, "dateCreated": "2023-01-02"}'), datetime(2023, 1, 2)),
-        (LD.format('[{"datePublished": "soon"}, {"datePublished": "2023-01-02"}]'), None),
-        (LD.format("{broken"), None),
-        (LD.format("{broken") + LD.format('{"datePublished": "2023-01-02"}'), None),
-        ("<p>2024-01-01</p>", None),
-    ],
-)
-def test_published_at(spark, page, expected):
-    assert one(spark, html.published_at(F.col("h")), h=f"<html>\n{page}\n</html>") == expected
-
-
-@pytest.mark.parametrize(
-    "text, expected",
-    [
-        ("2024-03-15T10:30:00Z", datetime(2024, 3, 15, 10, 30)),
-        ("Fri, 15 Mar 2024 10:30:00 GMT", datetime(2024, 3, 15, 10, 30)),
-        ("Fri, 15 Mar 2024 10:30:00 +0100", datetime(2024, 3, 15, 9, 30)),
-        ("March 15, 2024", datetime(2024, 3, 15)),
-        ("Mar 15, 2024 5:30 PM", datetime(2024, 3, 15, 17, 30)),
-        ("2024/3/5", datetime(2024, 3, 5)),
-        ("3/15/2024", datetime(2024, 3, 15)),
-        ("20240315T103000Z", datetime(2024, 3, 15, 10, 30)),
-        ("10:30", None),
-        ("year 2024", None),
-        ("", None),
-    ],
-)
-def test_parse_date(spark, text, expected):
-    assert one(spark, dates.parse_date(F.col("t")), t=text) == expected
+PAGES = [
+    ('<meta property="article:published_time" content="2024-03-15T10:30:00+00:00">', datetime(2024, 3, 15, 10, 30)),
+    ('<META name="PubDate" x content=\'15 March 2024\'>', datetime(2024, 3, 15)),
+    ('<meta name="publish-date" content="20240315">', datetime(2024, 3, 15)),
+    ('<time class="a" datetime="2024-03-15T12:00:00+02:00">', datetime(2024, 3, 15, 10)),
+    ('<meta property="article:published_time" content="soon"><time datetime="2021-05-06">', datetime(2021, 5, 6)),
+    ('<time datetime="2021-05-06"><meta name="pubdate" content="2020-01-01">', datetime(2020, 1, 1)),
+    ('<meta content="2024-01-01" name="pubdate">', None),
+    (LD.format('{"datePublished": "2023-01-02T08:00:00Z"}'), datetime(2023, 1, 2, 8)),
+    (LD.format('[1, {"a": 2}, {"datePublished": "", "dateCreated": "2023-01-02"}]'), datetime(2023, 1, 2)),
+    (LD.format('{"datePublished": 20230102}'), None),
+    (LD.format('{"datePublished": 0, "dateCreated": "2023-01-02"}'), datetime(2023, 1, 2)),
+    (LD.format('[{"datePublished": "soon"}, {"datePublished": "2023-01-02"}]'), None),
+    (LD.format("{broken"), None),
+    (LD.format("{broken") + LD.format('{"datePublished": "2023-01-02"}'), None),
+    ("<p>2024-01-01</p>", None),
+]
+
+
+def test_published_at(spark):
+    df = spark.createDataFrame([(f"<html>\n{page}\n</html>", day) for page, day in PAGES], "h string, day timestamp")
+    for row in df.withColumn("found", html.published_at(F.col("h"))).collect():
+        assert row.found == row.day, row
+
+
+TEXTS = [
+    ("2024-03-15T10:30:00Z", datetime(2024, 3, 15, 10, 30)),
+    ("Fri, 15 Mar 2024 10:30:00 GMT", datetime(2024, 3, 15, 10, 30)),
+    ("Fri, 15 Mar 2024 10:30:00 +0100", datetime(2024, 3, 15, 9, 30)),
+    ("March 15, 2024", datetime(2024, 3, 15)),
+    ("Mar 15, 2024 5:30 PM", datetime(2024, 3, 15, 17, 30)),
+    ("2024/3/5", datetime(2024, 3, 5)),
+    ("3/15/2024", datetime(2024, 3, 15)),
+    ("20240315T103000Z", datetime(2024, 3, 15, 10, 30)),
+    ("15th March 2024", datetime(2024, 3, 15)),
+    ("15 March 2024, 10:30", datetime(2024, 3, 15, 10, 30)),
+    ("March 15, 2024 10:30", datetime(2024, 3, 15, 10, 30)),
+    ("3/15/2024 10:30 AM", datetime(2024, 3, 15, 10, 30)),
+    ("15 Mar 2024 10:30 AM", datetime(2024, 3, 15, 10, 30)),
+    ("Mar. 15, 2024", datetime(2024, 3, 15)),
+    ("Sept 5, 2024", datetime(2024, 9, 5)),
+    ("Fri Mar 15 10:30:00 2024", datetime(2024, 3, 15, 10, 30)),
+    ("2024/03/15 10:30:00 +0100", datetime(2024, 3, 15, 9, 30)),
+    ("Fri Mar 15 2024 10:30:00 GMT+0100 (CET)", datetime(2024, 3, 15, 9, 30)),
+    ("15-Mar-2024 22:30:01.25", datetime(2024, 3, 15, 22, 30, 1, 250000)),
+    ("10.09.2003", datetime(2003, 10, 9)),
+    ("15.03.2024", datetime(2024, 3, 15)),
+    ("20240315103000", datetime(2024, 3, 15, 10, 30)),
+    ("20240315T1030-0530", datetime(2024, 3, 15, 16, 0)),
+    ("March 15, 2024 12:05 a.m. EST", datetime(2024, 3, 15, 0, 5)),
+    ("5 pm on the 15th of March 2024", None),
+    ("5 pm, 15th of March 2024", datetime(2024, 3, 15, 17)),
+    ("15 March 2024 13:30 PM", None),
+    ("31 February 2024", None),
+    ("March 2024", None),
+    ("15 March 2024 2025", None),
+    ("15 March 2024 (updated)", None),
+    ("2024/3/15 @ 10:30", None),
+    ("1 2 2024 3", None),
+    ("10:30", None),
+    ("year 2024", None),
+    ("", None),
+]
+
+
+def test_parse_date(spark):
+    df = spark.createDataFrame(TEXTS, "t string, moment timestamp")
+    for row in df.withColumn("found", dates.parse_date(F.col("t"))).collect():
+        assert row.found == row.moment, row
 
 
 def test_iso_text_round_trip(spark):

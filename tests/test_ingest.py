@@ -9,7 +9,8 @@ import pytest
 
 from presskiln.plans.ingest import ingest
 from presskiln.schemas import REDIRECTS, SCRAPE_RUNS, SNAPSHOTS
-from presskiln.sources.files import read_registry
+from presskiln.operators import runs as run_log
+from presskiln.sources.files import read_registry, read_snapshots
 from presskiln.sources.store import ArticleStore
 
 DAY_1, DAY_2 = datetime(2024, 5, 1, 8), datetime(2024, 5, 2, 8)
@@ -39,9 +40,10 @@ def world(spark, tmp_path):
         ("https://bbc.co.uk/news/1", None, page("BBC"), DAY_1),
     ]
     redirects = [
-        ("https://news.google.com/articles/1", "https://bbc.co.uk/news/1/"),
-        ("https://news.google.com/articles/2", "https://bbc.co.uk/news/missing"),
-        ("https://news.google.com/articles/3", "https://www.google.com/sorry"),
+        ("https://news.google.com/articles/1", "https://bbc.co.uk/news/1/", DAY_1),
+        ("https://news.google.com/articles/1", "https://bbc.co.uk/old", None),
+        ("https://news.google.com/articles/2", "https://bbc.co.uk/news/missing", None),
+        ("https://news.google.com/articles/3", "https://www.google.com/sorry", None),
     ]
     document = {
         "search_terms": ["online safety"],
@@ -57,9 +59,10 @@ def world(spark, tmp_path):
     }
     path = tmp_path / "registry.json"
     path.write_text(json.dumps(document))
+    spark.createDataFrame(snapshots, SNAPSHOTS).write.parquet(str(tmp_path / "snapshots"))
     return (
         read_registry(spark, str(path)),
-        spark.createDataFrame(snapshots, SNAPSHOTS),
+        read_snapshots(spark, str(tmp_path / "snapshots")),
         spark.createDataFrame(redirects, REDIRECTS),
         ArticleStore(spark, str(tmp_path / "store")),
     )
@@ -91,7 +94,7 @@ def test_two_runs(world):
     assert articles[0].s3_raw_html_path == f"raw/1/2024-05-01/{articles[0].content_hash}.html"
     raw = store.read("raw_html").collect()
     assert {r.s3_raw_html_path for r in raw} == {a.s3_raw_html_path for a in articles}
-    runs = store.read("scrape_runs").orderBy("run_id").collect()
+    runs = run_log.with_errors(store.read("scrape_runs"), store.read("run_error_parts")).orderBy("run_id").collect()
     assert [(r.run_id, r.source_id, r.status, r.error_message) for r in runs] == [
         (1, 1, "success", None),
         (2, 2, "success", None),
@@ -100,7 +103,8 @@ def test_two_runs(world):
     assert all(r.finished_at == DAY_1 for r in runs)
 
     # The same batch again changes nothing.
-    ingest(registry, snapshots, redirects, store, DAY_1, "day-1")
+    again = ingest(registry, snapshots, redirects, store, DAY_1, "day-1")
+    assert again.results.schema == done.results.schema and again.results.count() == 0
     assert store.read("articles").count() == 4 and store.read("scrape_runs").count() == 3
 
     # A second day adds the rescraped direct page, and the moved story, whose own address
@@ -115,6 +119,33 @@ def test_two_runs(world):
     assert store.read("sources").count() == 5
 
 
+def test_settings_of_each_document(spark, tmp_path):
+    """Two documents: one with a page and an article per source, one without limits. The first has
+    enough on its first page, so the pages it lacks are no errors, and the second takes over the
+    links the first left."""
+    listing = {"name": "L", "type": "link_page", "url": "https://news.sky.com/topic/a-1/1"}
+    other = {"name": "M", "type": "link_page", "url": "https://news.sky.com/topic/b-1/1"}
+    (tmp_path / "r").mkdir()
+    one = {"meta_sources": [listing], "settings": {"max_listing_pages": 3, "max_articles_per_source": 1}}
+    two = {"meta_sources": [other], "settings": {"max_listing_pages": 2}}
+    (tmp_path / "r" / "lines.json").write_text(json.dumps(one) + "\n" + json.dumps(two) + "\n")
+    story = "https://news.sky.com/story/"
+    rows = [
+        (listing["url"], None, page("L1", anchors("/story/a", "/story/b")), DAY_1),
+        (other["url"], None, page("M1", anchors("/story/a", "/story/b", "/story/c")), DAY_1),
+        *[(story + x, None, page(x), DAY_1) for x in "abc"],
+    ]
+    spark.createDataFrame(rows, SNAPSHOTS).coalesce(1).write.parquet(str(tmp_path / "snapshots"))
+    store = ArticleStore(spark, str(tmp_path / "store"))
+    registry = read_registry(spark, str(tmp_path / "r"), lines=True)
+    ingest(registry, read_snapshots(spark, str(tmp_path / "snapshots")), spark.createDataFrame([], REDIRECTS), store, DAY_1, "one")
+    assert sorted((a.source_id, a.title) for a in store.read("articles").collect()) == [(1, "a"), (2, "b"), (2, "c")]
+    runs = run_log.with_errors(store.read("scrape_runs"), store.read("run_error_parts")).orderBy("run_id").collect()
+    assert [(r.status, r.error_message) for r in runs] == [
+        ("success", None), ("partial", "https://news.sky.com/topic/b-1/2: no snapshot"),
+    ]
+
+
 def test_writes_become_visible_by_commit_only(spark, tmp_path):
     store = ArticleStore(spark, str(tmp_path / "store"))
 

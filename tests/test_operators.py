@@ -14,6 +14,9 @@ from presskiln.plans.runs import collect_article_urls
 from presskiln.sources.files import read_csv, read_registry, write_csv
 
 
+LINKS = "source_seq int, max_articles int, page_no int, url string, final_url string, ok boolean"
+
+
 def values(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
@@ -148,17 +151,36 @@ def test_first_success_wins(spark):
 
 
 def test_redirects(spark):
-    wrapped = spark.createDataFrame([(1, x) for x in "abcd"], "source_id int, url string")
+    wrapped = spark.createDataFrame([(1, f"https://h/{x}") for x in "abcd"], "source_id int, url string")
     to = spark.createDataFrame(
-        [("a", "https://X.com/p/"), ("b", "https://x.com/p"), ("c", "https://x.com/?u=google.com")], "url string, final_url string"
+        [("https://h/a", "https://X.com/p/", None), ("https://h/b", "https://x.com/p", None), ("https://h/c", "https://x.com/?u=google.com", None)],
+        schemas.REDIRECTS,
     )
     assert values(jobs.resolve_redirects(wrapped, to), "source_id", "url") == [(1, "https://x.com/p")]
 
 
+def test_the_latest_redirect_up_to_a_time_counts(spark):
+    from datetime import datetime
+
+    wrapped = spark.createDataFrame([(f"https://h/{x}",) for x in "abcde"], "url string")
+    day = [datetime(2024, 1, d) for d in range(1, 5)]
+    rows = [
+        ("https://h/a", "https://x/old", day[0]), ("HTTPS://H/a/", "https://x/new", day[1]), ("https://h/a", "https://x/late", day[3]),
+        ("https://h/b", "https://x/b", day[0]), ("https://h/b", None, day[1]),
+        ("https://h/c", "https://x/c", None), ("https://h/c", None, None),
+        ("https://h/d", None, day[0]), ("https://h/d", "https://x/d", day[1]),
+        ("https://h/e", "https://x/e", day[3]),
+    ]
+    to = spark.createDataFrame(rows, schemas.REDIRECTS)
+    as_of = F.lit("2024-01-03").cast("timestamp")
+    assert values(jobs.resolve_redirects(wrapped, to, as_of=as_of), "url") == [("https://x/d",), ("https://x/new",)]
+
+
 @pytest.mark.parametrize(
     "cap, expected",
     [
         (None, [(0, "a"), (0, "b"), (0, "c"), (1, "d"), (1, "e")]),
+        (-1, []),
         (0, []),
         (1, [(0, "a"), (1, "c")]),
         (2, [(0, "a"), (0, "b"), (1, "c")]),
@@ -168,25 +190,62 @@ def test_redirects(spark):
 def test_visited_links_of_one_source(spark, cap, expected):
     """a is refused, b leads to f; c waits for the second page where a low cap ends the first."""
     rows = [(0, "a", "a", False), (0, "b", "f", True), (0, "c", "c", True), (1, "c", "c", True), (1, "d", "d", True), (1, "e", "e", True), (1, "f", "f", True)]
-    candidates = spark.createDataFrame([(5, *r) for r in rows], "source_seq int, page_no int, url string, final_url string, ok boolean")
-    assert values(clicks.visited_links(candidates, cap, 2), "page_no", "url") == expected
-
-
-@pytest.mark.parametrize("cap", [1, 2, 4])
-def test_caps_hold_for_many_sources(spark, cap):
-    dice = random.Random(cap)
-    rows = []
-    for source in range(60):
-        target = {u: (dice.choice("abcdefgh") if dice.random() < 0.4 else u, dice.random() < 0.7) for u in "abcdefgh"}
-        rows += [(source, n, u, *target[u]) for n in range(3) for u in dice.sample("abcdefgh", dice.randint(0, 6))]
-    candidates = spark.createDataFrame(rows, "source_seq int, page_no int, url string, final_url string, ok boolean")
-    got = values(clicks.visited_links(candidates, cap, 3), "source_seq", "page_no", "url")
-    ok = {(s, u): good for s, _, u, _, good in rows}
-    assert got and len({(s, u) for s, _, u in got}) == len(got)
-    for source in {s for s, _, _ in got}:
-        own = [(n, u) for s, n, u in got if s == source]
-        assert sum(ok[source, u] for _, u in own) <= cap
-        assert all(sum(k == n for k, _ in own) <= cap for n in range(3))
+    candidates = spark.createDataFrame([(5, cap, *r) for r in rows], LINKS)
+    assert values(clicks.visited_links(candidates), "page_no", "url") == expected
+
+
+def _click_by_click(sources):
+    """Visits and stop page of sources in turn; each is (cap, pages of {url: (final, ok)})."""
+    seen, visits, stops = set(), [], {}
+    for seq, (cap, pages) in sorted(sources.items()):
+        saved = 0
+        for n, links_of_page in enumerate(pages):
+            tried = 0
+            while True:
+                if cap is not None and saved >= cap:
+                    stops[seq] = n
+                    break
+                fresh = sorted(u for u in links_of_page if u not in seen)
+                if not fresh or cap is not None and tried >= cap:
+                    break
+                url, tried = fresh[0], tried + 1
+                final, ok = links_of_page[url]
+                visits.append((seq, n, url))
+                seen.add(url)
+                if ok:
+                    seen.add(final)
+                    saved += 1
+            if seq in stops:
+                break
+    return sorted(visits), stops
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sources_take_turns_as_click_by_click(spark, seed):
+    """Many sources that share links, with caps of their own and links that lead to others."""
+    dice, sources = random.Random(seed), {}
+    target = {u: (dice.choice("abcdefgh") if dice.random() < 0.4 else u, dice.random() < 0.7) for u in "abcdefghijkl"}
+    for source in range(40):
+        # Sources of a group share links, of another group none.
+        names = [f"{u}{source % 6}" for u in "abcdefghijkl"]
+        pages = [
+            {u: (target[u[0]][0] + u[1:], target[u[0]][1]) for u in dice.sample(names, dice.randint(0, 8))} for _ in range(3)
+        ]
+        sources[source] = (dice.choice([None, 0, 1, 2, 4]), pages)
+    rows = [(seq, cap, n, u, *to) for seq, (cap, pages) in sources.items() for n, page in enumerate(pages) for u, to in page.items()]
+    walks = clicks.settled_walks(spark.createDataFrame(rows, LINKS))
+    visits, stops = _click_by_click(sources)
+    assert values(clicks.visits_of(walks), "source_seq", "page_no", "url") == visits
+    found = {r.source_seq: r.stop_page for r in walks.collect() if r.stop_page is not None}
+    assert found == {seq: n for seq, n in stops.items() if seq in found or sources[seq][0] > 0}
+
+
+def test_sources_without_shared_links_walk_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(clicks, "walk", lambda links, walk=clicks.walk: calls.append(1) or walk(links))
+    rows = [(s, 2, n, f"{s}-{n}-{k}", f"{s}-{n}-{k}", True) for s in range(50) for n in range(3) for k in range(4)]
+    walks = clicks.settled_walks(spark.createDataFrame(rows, LINKS))
+    assert len(calls) == 1 and {len(r.visits) for r in walks.collect()} == {2}
 
 
 def test_fetch_outcomes_and_choice_of_snapshot(spark):
@@ -220,6 +279,9 @@ def test_run_outcomes_and_errors_in_pieces(spark, monkeypatch):
         (1, "failed"), (2, "partial"), (3, "success"), (4, "success"),
     ]
     assert values(runs.error_parts(results), "run_id", "part_no", "error_message")[1] == (1, 1, "e3; e4; e5")
+    log = opened.withColumn("error_message", F.lit(None).cast("string")).withColumn("status", F.lit("x"))
+    whole = runs.with_errors(log, runs.error_parts(results))
+    assert whole.columns == log.columns and values(whole.where("run_id > 1"), "run_id", "error_message")[0] == (2, "x")
     assert values(runs.run_errors(results), "run_id", "error_message") == [
         (1, "; ".join(f"e{i}" for i in range(10))), (2, "x"),
     ]
@@ -234,6 +296,31 @@ def test_updates_and_checks(spark):
     assert values(updates.orphans(table, new, "id", "id"), "id") == [(1,)]
 
 
+def test_an_update_replaces_only_folders_it_touches(spark, tmp_path):
+    import glob
+    import os
+
+    path = str(tmp_path / "runs")
+    rows = [(k, 1, None, None, "running", None) for k in range(200)]
+    table = spark.createDataFrame(rows, schemas.SCRAPE_RUNS)
+    updates.write_bucketed(table, path, "run_id", 16)
+
+    def files():
+        return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*.parquet")}
+
+    before = files()
+    new = spark.createDataFrame([(3, "failed", "e"), (900, "failed", "no such run")], "run_id long, status string, error_message string")
+    updates.update_bucketed(spark, path, schemas.SCRAPE_RUNS, new, "run_id", 16)
+    after = files()
+    kept = {os.path.dirname(f) for f in before if after.get(f) == before[f]}
+    changed = {os.path.dirname(f) for f in set(before) ^ set(after)}
+    assert len(changed) in (1, 2) and len(kept) >= 14 and not kept & changed
+    got = spark.read.schema(schemas.SCRAPE_RUNS).parquet(path)
+    assert got.count() == 200 and values(got.where("status <> 'running'"), "run_id", "status", "error_message") == [(3, "failed", "e")]
+    updates.update_bucketed(spark, path, schemas.SCRAPE_RUNS, new, "run_id", 16)
+    assert spark.read.schema(schemas.SCRAPE_RUNS).parquet(path).count() == 200
+
+
 def test_csv_round_trip(spark, tmp_path):
     from datetime import datetime
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from presskiln.operators import fetch, jobs, ranking
+from presskiln.operators import clicks, fetch, jobs, ranking
 from presskiln.schemas import SNAPSHOTS
+from presskiln.session import cut_lineage
+from presskiln.sources.files import read_snapshots
 
 
 def plan_of(df):
@@ -70,18 +72,55 @@ def test_seen_reads_one_column(spark, tmp_path):
     assert "ReadSchema: struct<url:string>" in plan and "PushedFilters: [IsNotNull(url)" in plan
 
 
-def test_texts_are_shuffled_once(spark, conf, tmp_path):
-    """Joining the chosen pages to their texts and dropping copies shares one shuffle."""
+def test_no_exchange_or_sort_carries_texts(spark, conf, tmp_path):
+    """Texts of chosen pages stay where they are read, even where Spark broadcasts nothing by
+    itself; files without a chosen page are not opened; no key is worked out from a text."""
     conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
     path = str(tmp_path / "snaps")
-    spark.createDataFrame([("https://h/a", None, "<title>t</title>", None)], SNAPSHOTS).write.parquet(path)
-    snaps = spark.read.parquet(path)
-    chosen = fetch.page_facts(snaps).select("snapshot_url", "fetched_at", "content_hash")
-    plan = plan_of(fetch.page_texts(chosen, snaps))
-    assert plan.count("Exchange hashpartitioning") == 2, plan
+    spark.range(0, 60, 1, 6).select(
+        F.concat(F.lit("https://h/"), "id").alias("url"), F.lit(None).cast("string").alias("final_url"),
+        F.concat(F.lit("<title>t"), "id", F.lit("</title>")).alias("html"), F.lit(None).cast("timestamp").alias("fetched_at"),
+    ).write.parquet(path)
+    snaps = read_snapshots(spark, path)
+    wanted = spark.range(11, 16).select(F.concat(F.lit("https://h/"), "id").alias("url"))
+    keys = plan_of(fetch.wanted_keys(wanted, snaps))
+    assert "html" not in keys
+    chosen = cut_lineage(fetch.wanted_keys(wanted, snaps))
+    for most in (1 << 20, 2):  # one block, and several
+        texts = fetch.page_texts(chosen, snaps, most)
+        assert sorted(r.html for r in texts.collect()) == [f"<title>t{k}</title>" for k in range(11, 16)]
+        plan = plan_of(texts)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "sha2" not in plan
+        assert "Exchange hashpartitioning" not in plan and "Sort " not in plan
+    scans = [m for leaf in leaves(texts) if (m := leaf.metrics()).contains("numFiles")]
+    assert sum(m.apply("numFiles").value() for m in scans) == 1
+    assert fetch.page_texts(chosen.where("url = 'none'"), snaps).collect() == []
+
+
+def leaves(df):
+    found = df._jdf.queryExecution().executedPlan().collectLeaves().iterator()
+    while found.hasNext():
+        yield found.next()
+
+
+def test_a_listing_run_takes_a_fixed_number_of_jobs(spark):
+    """No loop over pages: as many jobs for 40 listing pages as for two."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs_for(pages):
+        rows = [(s, 3, n, f"{s}-{n}-{k}", f"{s}-{n}-{k}", k > 1) for s in range(5) for n in range(pages) for k in range(3)]
+        links = spark.createDataFrame(rows, "source_seq int, max_articles int, page_no int, url string, final_url string, ok boolean")
+        spark.sparkContext.setJobGroup(f"pages-{pages}", "")
+        clicks.visited_links(links).collect()
+        return len(tracker.getJobIdsForGroup(f"pages-{pages}"))
+
+    few, many = jobs_for(2), jobs_for(40)
+    spark.sparkContext.setJobGroup("", "")
+    assert few == many < 30
 
 
 def test_top_n_is_cut_before_the_shuffle(spark):
     rows = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").alias("k"))
-    plan = plan_of(ranking.top_n(rows, ["g"], ["k"], 3))
+    plan = plan_of(ranking.cut_parts(rows, ["g"], ["k"], F.lit(3)))
     assert plan.count("WindowGroupLimit") >= 2
+    assert sorted(map(tuple, ranking.top_n(rows, ["g"], ["k"], 3).collect())) == [(g, k) for g in (0, 1) for k in (g, g + 2, g + 4)]
