@@ -26,18 +26,30 @@ _MONTH = (
 _FILLER = (
     "(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?|st|nd|rd|th|t|z|utc|gmt|at|on|of|and"
 )
+# The forms in which most dates without a time are written: day, month and year, or month, day and
+# year, or year, month and day.
+_PLAIN = (
+    rf"^(?:{_FILLER.split('|st|')[0]},?\s+)?(?:(\d{{1,2}})(?:st|nd|rd|th)?\s+({_MONTH}),?\s+(\d{{4}})"
+    rf"|({_MONTH})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}}))$"
+    r"|^(\d{4})[/.](\d{1,2})[/.](\d{1,2})$|^(\d{4})(\d{2})(\d{2})$"
+)
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
+def _number_of(month: Column) -> Column:
+    """Number of a named month."""
+    return F.floor((F.instr(F.lit(_MONTHS), F.substr(month, F.lit(1), F.lit(3))) + 2) / 3).cast("int")
+
+
 def _day(words: Column, numbers: Column) -> Column:
     """(year, month, day) from the words and numbers of a text; NULL where they make no date.
 
     With a month's name the number of four digits is the year. Without, a year stands first or
     last, and the month before the day unless only the other order makes a month.
     """
-    month = F.get(F.filter(words, lambda w: w.rlike(f"^(?:{_MONTH})$")), F.lit(0))
-    named = F.floor((F.instr(F.lit(_MONTHS), F.substr(month, F.lit(1), F.lit(3))) + 2) / 3)
     first, second, third = (F.get(numbers, F.lit(k)) for k in range(3))
+    long_first, long_second, long_third = (F.length(n) == 4 for n in (first, second, third))
+    count = F.size(numbers)
 
     def as_date(year, month, day):
         return F.struct(year.cast("int").alias("y"), month.cast("int").alias("m"), day.cast("int").alias("d"))
@@ -46,18 +58,20 @@ def _day(words: Column, numbers: Column) -> Column:
         swapped = a.cast("int") > 12
         return as_date(year, F.when(swapped, b).otherwise(a), F.when(swapped, a).otherwise(b))
 
-    count, unknown = F.size(numbers), F.filter(words, lambda w: ~w.rlike(f"^(?:{_MONTH}|{_FILLER})$"))
-    short = F.forall(numbers, lambda n: (F.length(n) <= 2) | (F.length(n) == 4))
-    long_first, long_second, long_third = (F.length(n) == 4 for n in (first, second, third))
-    return F.when((F.size(unknown) > 0) | ~short, None).when(
-        month.isNotNull(),
-        F.when((count == 2) & long_first & ~long_second, as_date(first, named, second)).when(
-            (count == 2) & long_second & ~long_first, as_date(second, named, first)
-        ),
-    ).when(
+    def with_month(month):
+        named = _number_of(month)
+        return F.when(month.isNull(), numeric).when(
+            (count == 2) & long_first & ~long_second, as_date(first, named, second)
+        ).when((count == 2) & long_second & ~long_first, as_date(second, named, first))
+
+    numeric = F.when(
         (count == 3) & ~long_second,
         F.when(long_first & ~long_third, either(first, second, third)).when(long_third & ~long_first, either(third, first, second)),
     )
+    month = F.get(F.filter(words, lambda w: w.rlike(f"^(?:{_MONTH})$")), F.lit(0))
+    unknown = F.exists(words, lambda w: ~w.rlike(f"^(?:{_MONTH}|{_FILLER})$"))
+    short = F.forall(numbers, lambda n: (F.length(n) <= 2) | (F.length(n) == 4))
+    return F.when(count.between(2, 3) & short & ~unknown, let(month, with_month))
 
 
 def _moment(day: Column, piece) -> Column:
@@ -83,18 +97,39 @@ def parse_date(text: Column) -> Column:
     the session time zone, which is UTC.
     """
     def read(plain: Column) -> Column:
-        spaced = F.regexp_replace(F.lower(plain), _COMPACT, "$1-$2-$3 $4:$5:$6")
-        low = F.regexp_replace(spaced, r":+(?=$|[z+-])", "")
-        return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), let(low, pieces)))
+        rest = let(F.lower(plain), lambda low: F.coalesce(common(low), let(spaced(low), pieces)))
+        return F.when(plain.rlike(r"\d{4}"), F.coalesce(plain.try_cast("timestamp"), rest))
+
+    def common(low: Column) -> Column:
+        parts = F.regexp_replace(low, _PLAIN, "$3$6$7$10|$2$4$8$11|$1$5$9$12")
+        return let(parts, lambda p: F.when(p != low, let(F.split(p, "[|]"), whole)))
+
+    def whole(part: Column) -> Column:
+        # Not a try_cast: one that fails costs far more than all the rest.
+        month = F.when(part[1] < ":", part[1].cast("int")).otherwise(_number_of(part[1]))
+        return F.when(month <= 12, F.try_make_timestamp(part[0].cast("int"), month, part[2].cast("int"), F.lit(0), F.lit(0), F.lit(0)))
 
+    def spaced(low: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(low, _COMPACT, "$1-$2-$3 $4:$5:$6"), r":+(?=$|[z+-])", "")
+
+    # Every piece that is used more than once is bound: it would be worked out for each use.
     def pieces(low: Column) -> Column:
-        rest = F.regexp_replace(low, _TIME, " ")
-        day = _day(F.regexp_extract_all(rest, F.lit("[a-z]+"), F.lit(0)), F.regexp_extract_all(rest, F.lit(r"\d+"), F.lit(0)))
+        return let(F.regexp_replace(low, _TIME, " "), lambda rest: dated(low, rest))
+
+    def dated(low: Column, rest: Column) -> Column:
+        words, numbers = (F.regexp_extract_all(rest, F.lit(p), F.lit(0)) for p in ("[a-z]+", r"\d+"))
+        day = F.when(~rest.rlike(r"[^\sa-z0-9,./:'-]"), let(words, lambda w: let(numbers, lambda n: _day(w, n))))
+        return let(day, lambda d: F.when(d.isNotNull(), F.when(low == rest, midnight(d)).otherwise(timed(low, d))))
+
+    def midnight(d: Column) -> Column:
+        return F.try_make_timestamp(d["y"], d["m"], d["d"], F.lit(0), F.lit(0), F.lit(0))
+
+    def timed(low: Column, d: Column) -> Column:
         time = F.array(*[F.regexp_extract(low, _TIME, k) for k in range(1, 11)])
-        strange = F.regexp_replace(rest, r"[\sa-z0-9,./:'-]+", "") != ""
-        return let(day, lambda d: F.when(d.isNotNull() & ~strange, let(time, lambda t: _moment(d, lambda k: t[k - 1]))))
+        return let(time, lambda t: _moment(d, lambda k: t[k - 1]))
 
-    return let(F.regexp_replace(F.trim(text), _ZONE_NAME, "$1"), read)
+    plain = F.trim(text)
+    return let(F.when(plain.rlike("[A-Za-z)]$"), F.regexp_replace(plain, _ZONE_NAME, "$1")).otherwise(plain), read)
 
 
 def parse_iso(text: Column) -> Column:

@@ -92,12 +92,15 @@ def published_at(html: Column) -> Column:
         def text(k: Column) -> Column:
             return F.coalesce(*[F.when(k == n, F.regexp_extract(tags, tag, 1)) for n, tag in enumerate(DATED_TAGS)])
 
+        def date_of(written: Column) -> Column:
+            return F.when(written != "", parse_date(written))
+
         of_tags = F.aggregate(
             F.sequence(F.lit(0), F.lit(len(DATED_TAGS) - 1)),
             F.lit(None).cast("timestamp"),
-            lambda found, k: F.when(found.isNotNull(), found).otherwise(parse_date(text(k))),
+            lambda found, k: F.when(found.isNotNull(), found).otherwise(let(text(k), date_of)),
         )
-        return F.when(tags != "", F.coalesce(of_tags, parse_date(json_ld_date_text(tags))))
+        return F.when(tags != "", F.coalesce(of_tags, let(json_ld_date_text(tags), date_of)))
 
     return let(dated, first_date)
 
