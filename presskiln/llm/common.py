@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import os
 import tempfile
@@ -18,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE = "presskiln"
 # Bytes of text of which a task holds the result at a time, besides the batch it comes in.
 ENCODED_BYTES = 1 << 20
+# Bytes of files that one task reads.
+READ_BYTES = 8 << 20
 # What one Arrow batch of a table that is being written may hold: by default two of the 64 MB that
 # Spark allows stand in an executor and in each of its workers, beside all that a task needs.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
@@ -65,6 +69,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _trim():
+    """The C library's call that gives freed memory back to the system, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
+def releasing(run):
+    """``run``, a function for mapInArrow, that gives memory back when its task ends.
+
+    Workers are used again for tasks of later stages. What the libraries below Python keep for
+    themselves would add up there, beside the memory the executor itself needs.
+    """
+    def released(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return released
+
+
+def reading_tasks(listed: DataFrame, size: str) -> int:
+    """Tasks that a table of pieces of files is to be read by, from the sum of their ``size`` in
+    bytes: the rows themselves are tiny, so Spark would take all of them for one task's work."""
+    return max(1, -(-(listed.agg({size: "sum"}).first()[0] or 0) // READ_BYTES))
+
+
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """File system and path of a folder or file named by a URI or a plain path."""
     if "://" not in uri and not uri.startswith("file:"):
@@ -112,20 +147,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+KEPT_POWERS = 2 * ENCODED_BYTES
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, up to n."""
-    if len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for k, base in enumerate((_BASE, inverse)):
-            values = np.full(size, base)
-            values[0] = 1
-            with np.errstate(over="ignore"):
-                _POWERS[k] = np.multiply.accumulate(values)
-    return _POWERS
+    """Powers of the base and of its inverse modulo 2**64, up to n. Those of one piece of text are
+    kept; for a longer text they are made anew and given up with it."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS
+    inverse, made = np.uint64(pow(int(_BASE), -1, 1 << 64)), []
+    for base in (_BASE, inverse):
+        values = np.full(max(n, KEPT_POWERS), base)
+        values[0] = 1
+        with np.errstate(over="ignore"):
+            made.append(np.multiply.accumulate(values))
+    if n <= KEPT_POWERS:
+        _POWERS[:] = made
+    return made
 
 
 def table_of(letter) -> bytes:

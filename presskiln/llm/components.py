@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import ship, written
+from presskiln.llm.common import releasing, ship, written
 from presskiln.operators.skew import join_splittable
 
 FOREST = "hi long, lo long"
@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     split. Every round is written to the shared folder.
     """
     ship(links.sparkSession)
-    edges = written(links.select("a", "b").mapInArrow(_forest, FOREST), "forest")
+    edges = written(links.select("a", "b").mapInArrow(releasing(_forest), FOREST), "forest")
     while True:
         parents = edges.groupBy("hi").agg(F.min("lo").alias("up"))
         side = edges.join(parents, "hi").where("lo <> up").select(F.col("lo").alias("hi"), F.col("up").alias("lo"), F.lit(True).alias("moved"))

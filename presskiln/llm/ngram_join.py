@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import ENCODED_BYTES, SPACED, Words, frame_bytes, framed, in_pieces, mix, ship, sizes_of, texts_of, written
+from presskiln.llm.common import ENCODED_BYTES, SPACED, Words, frame_bytes, framed, in_pieces, mix, releasing, ship, sizes_of, texts_of, written
 from presskiln.llm.components import components
 from presskiln.operators.skew import join_splittable
 
@@ -212,7 +212,7 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
         if held:
             yield flushed()
 
-    return docs.select("text").mapInArrow(run, "bucket long, blob binary")
+    return docs.select("text").mapInArrow(releasing(run), "bucket long, blob binary")
 
 
 def _groups(table: pa.Table) -> pa.Table:
@@ -336,7 +336,7 @@ def _counted(dealt: DataFrame, docs: DataFrame, texts: DataFrame, order, fragmen
         block = pa.array([right["block"][0].as_py()] * len(cells) if cells else [], pa.int64())
         return pa.table({"block": block, "counts": pa.array(cells, pa.binary())})
 
-    segments = chosen.mapInArrow(cut, "block long, fragment long, cls long, keys binary")
+    segments = chosen.mapInArrow(releasing(cut), "block long, fragment long, cls long, keys binary")
     each = F.explode(F.array(*[F.lit(f).cast("long") for f in fragments])).alias("fragment")
     asked = dealt.groupBy("block").agg(F.collect_list(F.struct("a", "a_n", "b", "b_n", "found")).alias("pairs"))
     asked = asked.select("block", "pairs", each)
@@ -378,7 +378,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
     """
     fields = "block long, a long, a_n long, b long, b_n long, found long"
     ahead = _counted(_dealt(pairs), docs, texts, order, FIRST)
-    possible = written(ahead.mapInArrow(_possible, fields), "possible")
+    possible = written(ahead.mapInArrow(releasing(_possible), fields), "possible")
     counted = _counted(possible, docs, texts, order, REST)
     return written(counted.groupBy("block").applyInArrow(_summed, "a long, b long"), name)
 
@@ -395,7 +395,7 @@ def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = ship(docs.sparkSession)
     keyed = docs.select("text", *_text_key())
     fields = "_id long, _text long, n long, cls long, shingle long, count long"
-    sketch = written(keyed.select("_id", "_text", "text").mapInArrow(_sketch, fields), "sketch")
+    sketch = written(keyed.select("_id", "_text", "text").mapInArrow(releasing(_sketch), fields), "sketch")
     rows = sketch.where("shingle is null").select("_id", "_text", "n", "cls")
     order = spark.sparkContext.broadcast(global_order(sketch.where("shingle is not null").select("shingle", "count")))
 

@@ -9,7 +9,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from presskiln.llm.common import ship
+from presskiln.llm.common import releasing, ship
 
 # Kinds in the order in which spans are listed; the first four are the base.
 BASE = ("email", "ip", "card", "phone")
@@ -165,7 +165,7 @@ def find_pii(docs: DataFrame, redact: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch[n] for n in names] + more, names + [r[0] for r in results])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(*names).mapInArrow(find, schema + "".join(f", {r[0]} {r[2]}" for r in results))
+    return docs.select(*names).mapInArrow(releasing(find), schema + "".join(f", {r[0]} {r[2]}" for r in results))
 
 
 def op3_pii(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import ENCODED_BYTES, SPACED, Words, in_pieces, mix, ship, texts_of
+from presskiln.llm.common import ENCODED_BYTES, SPACED, Words, in_pieces, mix, releasing, ship, sizes_of, texts_of
 
 BUCKETS = 1 << 18
 # Labelled rows of each class the linear model is fitted on: those of least hash. The counts
@@ -133,9 +133,8 @@ def held_out(doc_id: str) -> Column:
 
 def _pieces(batch: pa.RecordBatch):
     """(first row, indicators) of the texts of a batch, some megabytes at a time."""
-    texts = texts_of(batch["text"])
-    for begin, end in in_pieces(map(len, texts), ENCODED_BYTES):
-        yield begin, *indicators(texts[begin:end])
+    for begin, end in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
+        yield begin, *indicators(texts_of(batch["text"].slice(begin, end - begin)))
 
 
 def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +154,7 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         columns = [np.append(used, -1), np.append(counts[0, used], totals[0]), np.append(counts[1, used], totals[1])]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "n0", "n1"])
 
-    summed = rows.mapInArrow(count, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    summed = rows.mapInArrow(releasing(count), "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     table = summed.toArrow()
     bucket, n0, n1 = (table[c].to_numpy() for c in ("bucket", "n0", "n1"))
     counts, totals = np.zeros((2, BUCKETS)), np.zeros(2)
@@ -190,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = FITTED_PER_CLASS)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["quality"], pa.array(cells, pa.binary())], ["doc_id", "quality", "places"])
 
     # At most 2 * per_class ids: a bound that does not grow.
-    fitted = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(rows_of, "doc_id long, quality int, places binary").toArrow().to_pylist()
+    fitted = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(releasing(rows_of), "doc_id long, quality int, places binary").toArrow().to_pylist()
     fitted.sort(key=lambda r: (r["doc_id"], r["quality"], r["places"]))
     rows = [np.frombuffer(r["places"], np.int32).astype(np.int64) for r in fitted]
     return fit(counts, totals, rows, np.array([r["quality"] for r in fitted], np.int64))
@@ -206,13 +205,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = texts_of(batch["text"])
-            scores = [shared.value.scores(texts[a:b]) for a, b in in_pieces(map(len, texts), ENCODED_BYTES)]
+            column = batch["text"]
+            scores = [shared.value.scores(texts_of(column.slice(a, b - a))) for a, b in in_pieces(sizes_of(column), ENCODED_BYTES)]
             more = pa.array(np.concatenate(scores) if scores else np.zeros(0))
             yield pa.RecordBatch.from_arrays([batch[n] for n in names] + [more], [*names, "score"])
 
     schema = docs.select(*names).withColumn("score", F.lit(0.0).cast("double")).schema
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(releasing(run), schema)
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from presskiln.llm.common import ship
+from presskiln.llm.common import releasing, ship
 from presskiln.llm.tokens import Cache, encoder
 
 # Fixed value: the character that stands for a blank in the vocabulary.
@@ -87,7 +87,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").mapInArrow(releasing(count), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presskiln.llm.common import (
-    ENCODED_BYTES, filesystem, frame_bytes, framed, in_pieces, shared_folder, ship, sizes_of, written,
+    ENCODED_BYTES, filesystem, frame_bytes, framed, in_pieces, reading_tasks, releasing, shared_folder, ship, sizes_of, written,
 )
 from presskiln.llm.tokens import ByteEncoder, encoder
 
@@ -163,15 +163,15 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         .select("doc_id", "text")
     )
     schema = "shard long, path string, bytes long, n_docs long, n_tokens long"
-    return written(placed.mapInArrow(write, schema), "token-files")
+    return written(placed.mapInArrow(releasing(write), schema), "token-files")
 
 
 def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
     """Every document of the listed files: doc_id, start, n_tokens, ids_crc32, ids (16-bit binary).
 
     ``start`` counts the ids of all documents before it, over all files in shard order; the crc32 is that
-    of the ids as little-endian unsigned 32-bit integers. Files are read by separate tasks; the
-    running sum is over one row per file. Without ids, that column is left out.
+    of the ids as little-endian unsigned 32-bit integers. Files are dealt out to as many tasks as
+    their bytes call for; the running sum is over one row per file. Without ids, that column is left out.
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     begins = F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("begin")
@@ -196,7 +196,7 @@ def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
                         yield _batch(rows, with_ids)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    return listed.repartition(F.col("path")).mapInArrow(read, schema)
+    return listed.repartitionByRange(reading_tasks(listed, "bytes"), "path").mapInArrow(releasing(read), schema)
 
 
 def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:

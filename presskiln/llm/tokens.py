@@ -12,10 +12,11 @@ import numpy as np
 
 from presskiln.llm.common import in_pieces
 
-# Chunks of each of two generations of the cache: the older one goes when the newer is full.
-GENERATION = 600_000
-# Unknown chunks in one call's text, and characters of text whose chunks are looked up together.
-JOINED, PIECE_CHARS = 20, 4 << 20
+# Chunks of each of two generations of the cache: the older one goes when the newer is full. Longer
+# chunks are not kept, so a generation has at most so many bytes.
+GENERATION, LONGEST = 300_000, 128
+# Characters of text whose chunks are looked up together.
+PIECE_CHARS = 4 << 20
 _ENCODERS: dict = {}
 STOPS = frozenset(",.")
 LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
@@ -35,7 +36,8 @@ class Cache(dict):
         if len(self) >= GENERATION:
             self.older = dict(self)
             self.clear()
-        self[key] = value
+        if len(key) <= LONGEST:
+            self[key] = value
         return value
 
 
@@ -54,6 +56,7 @@ class _ChunkEncoder:
     Unknown chunks are joined by a special token of the vocabulary, at which the library cuts a
     text before anything else, or by nothing where they can stand ``beside`` each other; chunks
     that hold a special token's text are encoded one by one.
+    ``joined`` unknown chunks are one call's text, the number at which a class is fastest.
     A comma or full stop behind a Latin letter or digit is a pre-token of its own at the end of a
     chunk, so such chunks are made of two known ones.
     """
@@ -104,7 +107,7 @@ class _ChunkEncoder:
 
     def _encode(self, chunks: list[str], mark: str) -> None:
         """Ids of unknown chunks, some of them at a time, joined by the mark or by nothing."""
-        groups = [chunks[k : k + JOINED] for k in range(0, len(chunks), JOINED)]
+        groups = [chunks[k : k + self.joined] for k in range(0, len(chunks), self.joined)]
         joined = [mark.join(g) for g in groups]
         for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.uint16)
@@ -119,9 +122,13 @@ class _ChunkEncoder:
         out: list[bytes] = []
         for begin, end in in_pieces(map(len, texts), PIECE_CHARS):
             cut = [self.cut(t) for t in texts[begin:end]]
-            self._learn(set().union(*cut), any(s in t for s in self.special for t in texts[begin:end]))
+            chunks = set().union(*cut)
+            self.long = any(len(c) > LONGEST for c in chunks)
+            self._learn(chunks, any(s in t for s in self.special for t in texts[begin:end]))
             known = self.known.__getitem__
             out += [b"".join(map(known, chunks)) for chunks in cut]
+            for chunk in [c for c in self.known if len(c) > LONGEST] if self.long else ():
+                del self.known[chunk]
         return out
 
 
@@ -133,6 +140,7 @@ class ByteEncoder(_ChunkEncoder):
     alone. Texts with longer runs are cut only at the blanks a pattern finds.
     """
 
+    joined = 50
     _cut = re.compile(r"(?<=\S)(?= \S)")
 
     def beside(self, chunk: str) -> bool:
@@ -152,6 +160,8 @@ class WordEncoder(_ChunkEncoder):
     Normal form and lower case do not look across a blank either.
     """
 
+    joined = 400
+
     def cut(self, text: str) -> list[str]:
         return text.replace("\n", " ").split(" ")
 

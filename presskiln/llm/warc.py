@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presskiln.llm.common import filesystem, shared_folder, ship, written
+from presskiln.llm.common import filesystem, reading_tasks, releasing, shared_folder, ship, written
 from presskiln.operators.skew import join_splittable
 
 # Ranges are read together where the gap is small, up to a length.
@@ -115,7 +115,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                     at += len(member)
                 yield _batch(rows, _INDEX_KINDS)
 
-    return written(marked.mapInArrow(write, INDEX), "warc-index")
+    return written(marked.mapInArrow(releasing(write), INDEX), "warc-index")
 
 
 _INDEX_KINDS = (("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_digest", pa.string()), ("record_type", pa.string()))
@@ -148,7 +148,8 @@ def ranges(rows: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, int, int
 def read_records(selected: DataFrame) -> DataFrame:
     """Records of the selected index rows, as RECORD; a revisit has no payload of its own.
 
-    Index rows are sorted by place and spread by range, so that neighbours are read in one go.
+    Index rows are sorted by place and spread by range, so that neighbours are read in one go, over
+    as many tasks as their bytes call for.
     """
 
     def read(batches):
@@ -170,8 +171,9 @@ def read_records(selected: DataFrame) -> DataFrame:
         if rows:
             yield _batch(rows, _RECORD_KINDS)
 
-    placed = selected.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
-    return placed.mapInArrow(read, RECORD)
+    wanted = selected.select("path", "offset", "length")
+    placed = wanted.repartitionByRange(reading_tasks(wanted, "length"), "path", "offset").sortWithinPartitions("path", "offset")
+    return placed.mapInArrow(releasing(read), RECORD)
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:

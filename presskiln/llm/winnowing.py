@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.llm.common import (
-    ENCODED_BYTES, LETTERED, Words, filesystem, in_pieces, shared_folder, ship, sizes_of, texts_of, written,
+    ENCODED_BYTES, LETTERED, Words, filesystem, in_pieces, releasing, shared_folder, ship, sizes_of, texts_of, written,
 )
 
 # Words of a window that counts as a hit, words of a fingerprinted run, and runs of which the
@@ -178,9 +178,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def find(batches):
         for batch in batches:
             columns: list[list] = [[], [], []]
-            texts = texts_of(batch["text"])
-            for begin, end in in_pieces(map(len, texts), ENCODED_BYTES):
-                words = Words(texts[begin:end], LETTERED)
+            column = batch["text"]
+            for begin, end in in_pieces(sizes_of(column), ENCODED_BYTES):
+                words = Words(texts_of(column.slice(begin, end - begin)), LETTERED)
                 marks = np.zeros(len(words.hashes), bool)
                 items: list[set[str]] = [set() for _ in range(begin, end)]
                 for uri in uris:
@@ -200,7 +200,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs.select(*names)
     for name, kind in (("n_words", "long"), ("n_hit", "long"), ("items", "array<string>")):
         out = out.withColumn(name, F.lit(None).cast(kind))
-    return docs.select(*names).mapInArrow(find, out.schema)
+    return docs.select(*names).mapInArrow(releasing(find), out.schema)
 
 
 def digest(leaks: DataFrame) -> DataFrame:

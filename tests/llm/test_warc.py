@@ -58,3 +58,18 @@ def test_ranges_join_neighbours():
     assert list(ranges(iter(rows))) == [
         ("a", 0, 25, [(0, 10), (10, 5), (20, 5)]), ("a", 10**6, 10**6 + 5, [(10**6, 5)]), ("b", 0, 3, [(0, 3)]),
     ]
+
+
+def test_archives_and_token_files_are_read_by_many_tasks(spark, monkeypatch):
+    import public_tokenizers
+
+    from presskiln.llm import common, token_files
+
+    monkeypatch.setattr(common, "READ_BYTES", 20_000)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").repartition(4)
+    records = read_records(write_archives(pages, shared_folder(spark, "warc")))
+    assert records.rdd.getNumPartitions() > 10 and records.count() == pages.count()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
+    files = token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), shared_folder(spark, "tokens"))
+    read = token_files.read_token_files(files)
+    assert read.rdd.getNumPartitions() > 1 and read.count() == docs.count()
