@@ -69,7 +69,8 @@ def test_archives_and_token_files_are_read_by_many_tasks(spark, monkeypatch):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").repartition(4)
     records = read_records(write_archives(pages, shared_folder(spark, "warc")))
     assert records.rdd.getNumPartitions() > 10 and records.count() == pages.count()
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
-    files = token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), shared_folder(spark, "tokens"))
-    read = token_files.read_token_files(files)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = public_tokenizers.path("byte_bpe_50k.json")
+    one, two = (token_files.write_token_files(docs.where(f"doc_id % 2 = {k}"), model, shared_folder(spark, "tokens")) for k in (0, 1))
+    read = token_files.read_token_files(one.unionByName(two.withColumn("shard", F.col("shard") + 1000)))
     assert read.rdd.getNumPartitions() > 1 and read.count() == docs.count()
