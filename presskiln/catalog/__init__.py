@@ -4,6 +4,6 @@ A module holds the queries of one area: ``QUERIES`` maps a key to a function of
 and a folder, ``ORACLES`` maps the same keys to DuckDB SQL on the same tables.
 """
 
-from presskiln.catalog import jobs, pages, pipelines, registry, runs, urls
+from presskiln.catalog import jobs, pages, pipelines, registry, runs, stored, urls
 
-AREAS = (pages, urls, registry, jobs, runs, pipelines)
+AREAS = (pages, urls, registry, jobs, runs, stored, pipelines)

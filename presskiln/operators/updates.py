@@ -61,6 +61,10 @@ def write_bucketed(table: DataFrame, path: str, key: str, buckets: int = KEY_BUC
     _by_bucket(table, key, buckets).write.partitionBy(BUCKET).parquet(path)
 
 
+def read_bucketed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def update_bucketed(spark: SparkSession, path: str, schema: StructType, updates: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> None:
     """``update_rows`` on a table of ``write_bucketed``: only folders that hold a key of
     ``updates`` are read and replaced, the others stay as they are.

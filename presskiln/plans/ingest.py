@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -38,21 +39,23 @@ def plan_results(
     sources: DataFrame,
     snapshots: DataFrame,
     redirects: DataFrame,
-    seen: DataFrame,
+    seen: DataFrame | Callable[[DataFrame], DataFrame],
     settings: R.Settings,
     as_of: Column | None = None,
 ) -> DataFrame:
     """Results of all jobs of all sources: saved pages and errors, in job order.
 
-    Keys come first: the URLs of searches and listings pick their snapshots by narrow columns, then
+    ``seen`` holds the stored URLs, or gives those among some jobs. Keys come first: the URLs of searches and listings pick their snapshots by narrow columns, then
     the text of those is read for its links; the links that are not stored pick theirs, and only
     the text of those is read for titles, dates and hashes.
     """
     read = cut_lineage(R.expanded(cut_lineage(R.link_pages(sources)), snapshots, settings))
     found = cut_lineage(R.listing_links(read))
     due = R.direct_jobs(sources).unionByName(R.search_jobs(read, redirects, as_of))
-    due = cut_lineage(jobs.skip_seen(due, seen))
-    fresh = cut_lineage(jobs.skip_seen(found, seen))
+    due = cut_lineage(due)
+    known = seen(due.select("url").union(found.select("url"))) if callable(seen) else seen
+    known = cut_lineage(known.select("url"))
+    due, fresh = cut_lineage(jobs.skip_seen(due, known)), cut_lineage(jobs.skip_seen(found, known))
     wanted = due.select("url").union(fresh.select("url"))
     facts = cut_lineage(fetch.wanted_facts(wanted, snapshots))
 
@@ -141,13 +144,12 @@ def ingest(
     )
 
     articles = store.read("articles")
-    results = cut_lineage(
-        plan_results(active, snapshots, redirects, jobs.seen_urls(articles), settings, now)
-    )
+    results = cut_lineage(plan_results(active, snapshots, redirects, store.seen_among, settings, now))
     saved = results.where(F.col("error").isNull())
     parts = cut_lineage(runs.error_parts(results))
     # The errors of a run stay in pieces; who wants them as one text joins them (runs.with_errors).
     closing = runs.run_outcomes(active, results).withColumn("error_message", F.lit(None).cast("string"))
+    store.seen.grow(saved, batch)
     store.commit(
         stage_raw_html(store, saved, snapshots, now, batch),
         store.stage("articles", article_rows(saved, ["job_seq"], now, articles), batch),

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from presskiln.operators.updates import conform
 from presskiln.schemas import TABLES
+from presskiln.sources.seen import BUCKETS, SeenUrls
 
 COMMITS = T.StructType(
     [
@@ -31,9 +32,14 @@ _PLACE = T.StructType([T.StructField("batch", T.StringType()), T.StructField("re
 
 
 class ArticleStore:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.seen = SeenUrls(spark, f"{self.root}/seen", buckets)
+
+    def seen_among(self, urls: DataFrame) -> DataFrame:
+        """Those of ``urls`` that are stored."""
+        return self.seen.among(urls, self.commits().where(F.col("table") == "articles"))
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         try:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from presskiln.operators import fetch, jobs, ranking, runs
+from presskiln.operators import fetch, ranking, runs
 from presskiln.operators.skew import join_splittable
 from presskiln.plans.articles import article_rows
 from presskiln.plans.ingest import utc
@@ -22,7 +23,7 @@ from presskiln.sources.store import ArticleStore
 ARRIVALS = StructType([StructField("source_id", LongType()), *SNAPSHOTS.fields])
 
 
-def slice_results(arrived: DataFrame, seen: DataFrame) -> DataFrame:
+def slice_results(arrived: DataFrame, seen_among: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What becomes of the snapshots of a slice: the earliest good one of every URL that is not
     stored is saved; a refused one that came before it, or where there is none, is an error.
 
@@ -30,7 +31,8 @@ def slice_results(arrived: DataFrame, seen: DataFrame) -> DataFrame:
     give what one run over all of them gives. Text is read once, in the scan.
     """
     facts = fetch.page_facts(arrived, keep=("source_id",)).where(F.col("url").isNotNull())
-    facts = cut_lineage(join_splittable(facts, seen.select("url").distinct(), "url", "left_anti"))
+    facts = cut_lineage(facts)
+    facts = cut_lineage(join_splittable(facts, seen_among(facts).select("url"), "url", "left_anti"))
     saved = fetch.one_per_url(facts.where(~F.col("denied")), latest=False)
     good = saved.select("url", F.col("fetched_at").alias("_good_at"))
     refused = join_splittable(facts.where("denied"), good, "url", "left").where("_good_at is null or fetched_at < _good_at")
@@ -49,7 +51,7 @@ def ingest_snapshots(arrived: DataFrame, store: ArticleStore, run_ts: datetime,
     articles = store.read("articles")
     results = cut_lineage(
         ranking.ranked(
-            slice_results(arrived, jobs.seen_urls(articles)), ["source_id", "url", "fetched_at", "snapshot_url", *fetch.ADDRESS], name="job_seq"
+            slice_results(arrived, store.seen_among), ["source_id", "url", "fetched_at", "snapshot_url", *fetch.ADDRESS], name="job_seq"
         )
     )
     active = arrived.select("source_id").where(F.col("source_id").isNotNull()).distinct()
@@ -57,6 +59,7 @@ def ingest_snapshots(arrived: DataFrame, store: ArticleStore, run_ts: datetime,
     results = results.join(active, "source_id", "left")
     saved = results.where(F.col("error").isNull())
     closing = runs.run_outcomes(active, results).withColumn("error_message", F.lit(None).cast("string"))
+    store.seen.grow(saved, batch)
     store.commit(
         store.stage("articles", article_rows(saved, ["source_id", "url"], now, articles), batch),
         stage_raw_html(store, saved, arrived, now, batch),

@@ -9,6 +9,7 @@ from presskiln.operators import clicks, fetch, jobs, ranking
 from presskiln.schemas import SNAPSHOTS
 from presskiln.session import cut_lineage
 from presskiln.sources.files import read_snapshots
+from presskiln.sources.seen import SeenUrls
 
 
 def plan_of(df):
@@ -124,3 +125,30 @@ def test_top_n_is_cut_before_the_shuffle(spark):
     plan = plan_of(ranking.cut_parts(rows, ["g"], ["k"], F.lit(3)))
     assert plan.count("WindowGroupLimit") >= 2
     assert sorted(map(tuple, ranking.top_n(rows, ["g"], ["k"], 3).collect())) == [(g, k) for g in (0, 1) for k in (g, g + 2, g + 4)]
+
+
+def test_stored_urls_are_not_shuffled_to_find_a_few(spark, conf, tmp_path):
+    """Looking URLs up shuffles those to the buckets of the table, and nothing of the table."""
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    seen = SeenUrls(spark, str(tmp_path / "seen"), buckets=8)
+
+    def urls(*ids):
+        return spark.createDataFrame([(f"https://h/{k}",) for k in ids], "url string")
+
+    seen.grow(urls(*range(300), 5, 5), "a")
+    seen.grow(urls(*range(250, 400)), "b")
+    done = spark.createDataFrame([("a",)], "batch string")
+    found = seen.among(urls(3, 7, 7, 260, 350, 999), done)
+    assert sorted(r.url for r in found.collect()) == ["https://h/260", "https://h/3", "https://h/7"]
+    # 350 stands in the table, in a batch that is not committed; of the others few are looked for.
+    possible = {r.url for r in seen.possible(urls(*range(0, 4000))).collect()}
+    assert {f"https://h/{k}" for k in range(400)} <= possible and len(possible) < 420
+    plan = plan_of(found)
+    table_side = plan[plan.rindex("BroadcastHashJoin") :]
+    assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan, plan
+    assert "Exchange hashpartitioning(url" not in table_side, plan
+    # Another session that only knows the folder reads the same table.
+    spark.sql(f"DROP TABLE {seen.table}")
+    again = SeenUrls(spark, str(tmp_path / "seen"), buckets=8)
+    assert again.among(urls(3, 999), done).count() == 1
+    assert SeenUrls(spark, str(tmp_path / "none"), buckets=8).among(urls(1), done).count() == 0
