@@ -109,14 +109,14 @@ def _seen(spark, folder):
 
 def run_direct(spark, folder):
     snapshots = T.snapshots(spark, folder)
-    due = cut_lineage(jobs.skip_seen(R.direct_jobs(_direct_sources(spark, folder)), T.stored(spark, folder)))
+    due = jobs.skip_seen(R.direct_jobs(_direct_sources(spark, folder)), T.stored(spark, folder))
     results = R.run_fixed(due, fetch.wanted_facts(due, snapshots))
     return results.select("source_seq", "url", "title", "content_hash", "outcome", "error")
 
 
 def run_search(spark, folder):
     snapshots = T.stored_snapshots(T.snapshots(spark, folder).select(*SNAPSHOTS.names).unionByName(_search_snapshots(spark, folder)))
-    read = cut_lineage(R.expanded(cut_lineage(R.link_pages(_search_sources(spark, folder))), snapshots, SETTINGS))
+    read = cut_lineage(R.expanded(R.link_pages(_search_sources(spark, folder)), snapshots, SETTINGS))
     found = R.search_jobs(read, _redirects(spark, folder), T.run_ts())
     due = cut_lineage(jobs.skip_seen(found, _seen(spark, folder)))
     results = R.run_fixed(due, fetch.wanted_facts(due, snapshots))
@@ -126,7 +126,7 @@ def run_search(spark, folder):
 def run_listing(spark, folder):
     """Visited links, and the listing pages that are missing before a source has enough."""
     snapshots = T.stored_snapshots(_listing_snapshots(spark, folder))
-    read = cut_lineage(R.expanded(cut_lineage(R.link_pages(_listing_sources(spark, folder))), snapshots, SETTINGS))
+    read = cut_lineage(R.expanded(R.link_pages(_listing_sources(spark, folder)), snapshots, SETTINGS))
     fresh = cut_lineage(jobs.skip_seen(R.listing_links(read), _seen(spark, folder)))
     visited, walks = R.run_listing(fresh, fetch.wanted_facts(fresh, snapshots))
     failed = R.failed_pages(read, walks).withColumn("outcome", F.lit("no page"))

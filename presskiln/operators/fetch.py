@@ -138,7 +138,8 @@ def page_texts(chosen: DataFrame, snapshots: DataFrame, block_rows: int = BLOCK_
     carries a text. Only the list of files comes to the driver.
     """
     span = F.floor(F.col("page_row") / SPAN_ROWS)
-    spans = chosen.groupBy("page_file", span.alias("span")).agg(F.count("*").alias("n")).orderBy("page_file", "span").collect()
+    spans = chosen.groupBy("page_file", span.alias("span")).agg(F.count("*").alias("n")).collect()
+    spans.sort(key=lambda s: (s["page_file"], s["span"]))
     parts = []
     for block in _blocks(spans, block_rows):
         files = sorted({s["page_file"] for s in block})

@@ -49,12 +49,11 @@ def plan_results(
     the text of those is read for its links; the links that are not stored pick theirs, and only
     the text of those is read for titles, dates and hashes.
     """
-    read = cut_lineage(R.expanded(cut_lineage(R.link_pages(sources)), snapshots, settings))
+    read = cut_lineage(R.expanded(R.link_pages(sources), snapshots, settings))
     found = cut_lineage(R.listing_links(read))
     due = R.direct_jobs(sources).unionByName(R.search_jobs(read, redirects, as_of))
     due = cut_lineage(due)
-    known = seen(due.select("url").union(found.select("url"))) if callable(seen) else seen
-    known = cut_lineage(known.select("url"))
+    known = cut_lineage(seen(due.select("url").union(found.select("url")))) if callable(seen) else seen
     due, fresh = cut_lineage(jobs.skip_seen(due, known)), cut_lineage(jobs.skip_seen(found, known))
     wanted = due.select("url").union(fresh.select("url"))
     facts = cut_lineage(fetch.wanted_facts(wanted, snapshots))
