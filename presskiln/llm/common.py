@@ -77,13 +77,21 @@ def _trim():
         return lambda _: 0
 
 
-def releasing(run):
+# What a worker keeps from task to task, by the kind of task it is for.
+KEPT: dict[str, dict] = {"encoders": {}, "finders": {}, "indexes": {}}
+
+
+def releasing(run, keeps: str | None = None):
     """``run``, a function for mapInArrow, that gives memory back when its task ends.
 
-    Workers are used again for tasks of later stages. What the libraries below Python keep for
-    themselves would add up there, beside the memory the executor itself needs.
+    Workers are used again for tasks of later stages. What those before kept for others than
+    ``keeps``, and what the libraries below Python keep for themselves, would add up there, beside the
+    memory the executor itself needs.
     """
     def released(batches):
+        for kind, kept in KEPT.items():
+            if kind != keeps:
+                kept.clear()
         try:
             yield from run(batches)
         finally:

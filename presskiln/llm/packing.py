@@ -127,7 +127,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, keep_ids: bool = True
         yield from _rows(full())
         yield from _rows((-1 - (base + k), w) for k, w in enumerate(packer.close()))
 
-    placed = written(docs.select("doc_id", "text").mapInArrow(releasing(first), PLACED), "packed")
+    placed = written(docs.select("doc_id", "text").mapInArrow(releasing(first, "encoders"), PLACED), "packed")
     done, left = placed.where("sequence_id >= 0"), placed.where("sequence_id < 0")
     partition = F.shiftright(-1 - F.col("sequence_id"), 36)
     last = left.agg(F.max(partition)).first()[0]

@@ -9,7 +9,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from presskiln.llm.common import releasing, ship
+from presskiln.llm.common import KEPT, releasing, ship
 
 # Kinds in the order in which spans are listed; the first four are the base.
 BASE = ("email", "ip", "card", "phone")
@@ -128,7 +128,7 @@ def redacted(text: str, spans: dict[str, list[tuple[int, int]]]) -> str:
     return "".join(out) + text[done:]
 
 
-_FINDERS: list[Finder] = []
+_FINDERS: dict[str, Finder] = KEPT["finders"]
 RESULT = [
     *((f"n_{kind}", pa.int64(), "long") for kind in BASE),
     ("base_sha256", pa.string(), "string"), ("spans", pa.string(), "string"), ("redacted", pa.string(), "string"),
@@ -149,12 +149,13 @@ def find_pii(docs: DataFrame, redact: bool = True) -> DataFrame:
 
     def find(batches):
         if not _FINDERS:
-            _FINDERS.append(Finder())
+            _FINDERS[""] = Finder()
+        finder = _FINDERS[""]
         for batch in batches:
             rows = []
             for value in batch["text"]:
                 text = value.as_py()
-                spans = _FINDERS[0].find(text or "")
+                spans = finder.find(text or "")
                 row = [len(spans[kind]) for kind in BASE]
                 row += [hashlib.sha256(listed(spans, BASE).encode()).hexdigest(), listed(spans, KINDS)]
                 if redact:
@@ -165,7 +166,7 @@ def find_pii(docs: DataFrame, redact: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch[n] for n in names] + more, names + [r[0] for r in results])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(*names).mapInArrow(releasing(find), schema + "".join(f", {r[0]} {r[2]}" for r in results))
+    return docs.select(*names).mapInArrow(releasing(find, "finders"), schema + "".join(f", {r[0]} {r[2]}" for r in results))
 
 
 def op3_pii(spark, sf_dir: str) -> DataFrame:

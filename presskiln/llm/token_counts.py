@@ -87,7 +87,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(releasing(count), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").mapInArrow(releasing(count, "encoders"), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -163,7 +163,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         .select("doc_id", "text")
     )
     schema = "shard long, path string, bytes long, n_docs long, n_tokens long"
-    return written(placed.mapInArrow(releasing(write), schema), "token-files")
+    return written(placed.mapInArrow(releasing(write, "encoders"), schema), "token-files")
 
 
 def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:

@@ -10,14 +10,14 @@ import re
 
 import numpy as np
 
-from presskiln.llm.common import in_pieces
+from presskiln.llm.common import KEPT, in_pieces
 
 # Chunks of each of two generations of the cache: the older one goes when the newer is full. Longer
 # chunks are not kept, so a generation has at most so many bytes.
 GENERATION, LONGEST = 300_000, 128
 # Characters of text whose chunks are looked up together.
 PIECE_CHARS = 4 << 20
-_ENCODERS: dict = {}
+_ENCODERS = KEPT["encoders"]
 STOPS = frozenset(",.")
 LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
 

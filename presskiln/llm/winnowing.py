@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presskiln.llm.common import (
-    ENCODED_BYTES, LETTERED, Words, filesystem, in_pieces, releasing, shared_folder, ship, sizes_of, texts_of, written,
+    ENCODED_BYTES, KEPT, LETTERED, Words, filesystem, in_pieces, releasing, shared_folder, ship, sizes_of, texts_of, written,
 )
 
 # Words of a window that counts as a hit, words of a fingerprinted run, and runs of which the
@@ -20,7 +20,7 @@ WINDOW, GRAM = 10, 5
 LEAST = WINDOW - GRAM + 1
 # Benchmark text of one index; a larger benchmark has several, read one at a time.
 INDEX_BYTES = 32 << 20
-_INDEXES: dict[str, Index] = {}
+_INDEXES: dict[str, Index] = KEPT["indexes"]
 
 
 def fingerprints(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +200,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs.select(*names)
     for name, kind in (("n_words", "long"), ("n_hit", "long"), ("items", "array<string>")):
         out = out.withColumn(name, F.lit(None).cast(kind))
-    return docs.select(*names).mapInArrow(releasing(find), out.schema)
+    return docs.select(*names).mapInArrow(releasing(find, "indexes"), out.schema)
 
 
 def digest(leaks: DataFrame) -> DataFrame:
