@@ -45,3 +45,25 @@ def test_one_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_id", F.lit(1))
     kept = sorted(map(str, keep_one(docs).select("doc_id", "text").collect()))
     assert len(kept) == 6 and sum("a b" in k.lower() for k in kept) == 1 and sum("only" in k for k in kept) == 1
+
+
+def test_stages_on_odd_rows_and_empty_tables(spark):
+    """Columns named like results keep their values; null, empty, long and repeated texts pass."""
+    clashes = ["score", "n_words", "n_hit", "items", "spans", "redacted", "n_email", "base_sha256"]
+    texts = [(1, None), (2, ""), (2, ""), (None, "write to x@y.zz"), (3, "1.2.3.4 says so " * 4000), (4, " \n"), (5, "plain words here")]
+    docs = spark.createDataFrame([(*t, 7, *clashes) for t in texts], "doc_id long, text string, n_chars long, " + ", ".join(f"{c} string" for c in clashes))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = corpus_pipeline.written(stage(spark, docs, FOLDER), "odd")
+        assert rows.columns == docs.columns
+        found = rows.collect()
+        assert all([r[c] for c in clashes] == clashes for r in found), name
+        # Texts without words are like nothing, so both rows of document 2 stay.
+        assert sorted(str(r["doc_id"]) for r in found) == sorted(str(d) for d, _ in texts), name
+        if name == "personal_data":
+            by_id = {r["doc_id"]: r for r in found}
+            assert by_id[None]["text"] == "write to [EMAIL]" and by_id[None]["n_chars"] == 16
+            assert by_id[1]["text"] is None and by_id[1]["n_chars"] == 7 and by_id[2]["n_chars"] == 0
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert packed.select("doc_id").distinct().count() == 6
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), FOLDER).count() == 0
