@@ -67,8 +67,8 @@ def _old_sources(spark, folder):
 
 def _synced(spark, folder):
     direct, meta = _lists(spark, folder)
-    entries = registry.entries_from_lists(direct, meta).where(F.col("problem").isNull())
-    return registry.upsert_sources(_old_sources(spark, folder), entries)
+    # Sources that cannot run are kept up to date like any other, where they have an address.
+    return registry.upsert_sources(_old_sources(spark, folder), registry.entries_from_lists(direct, meta))
 
 
 def upsert_sources(spark, folder):
@@ -151,7 +151,7 @@ _OLD = """old AS (
   SELECT (n_nationkey + 1)::BIGINT AS source_id, n_name AS name, 'https://nation-' || n_nationkey || '.example.com/' AS base_url,
     'allowed' AS robots_txt_status, 'weekly' AS scrape_frequency, true AS enabled
   FROM nation WHERE n_regionkey <= 2)"""
-_SYNCED = """valid AS (SELECT *, row_number() OVER (ORDER BY part, seq) AS entry FROM entries WHERE problem IS NULL),
+_SYNCED = """valid AS (SELECT *, row_number() OVER (ORDER BY part, seq) AS entry FROM entries WHERE base_url IS NOT NULL),
 listed AS (
   SELECT base_url, min(entry) AS first_entry, arg_max(name, entry) AS name, arg_max(scrape_frequency, entry) AS scrape_frequency,
     arg_max(enabled, entry) AS enabled FROM valid GROUP BY base_url),
