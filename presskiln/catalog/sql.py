@@ -69,7 +69,9 @@ all_links AS (
   SELECT DISTINCT page_id, page_url, {normalize(f"{parts('page_url')}.scheme || '://' || {parts('page_url')}.host || {href('quoted')}")} AS url
   FROM hrefs WHERE length(quoted) > 2)"""
 
-SNAPSHOTS = f"""snaps AS (
+def snapshots(order: str) -> str:
+    """Facts of all pages, and of the pages of one address the first in this order."""
+    return f"""snaps AS (
   SELECT url, CASE WHEN contains(url, '#') THEN replace(html, '<title>', '<title>Access Denied ') ELSE html END AS html
   FROM pages),
 described AS (
@@ -78,9 +80,13 @@ described AS (
   FROM snaps),
 facts AS (
   SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_url DESC) AS place FROM described)
+    SELECT *, row_number() OVER (PARTITION BY url ORDER BY {order}) AS place FROM described)
   WHERE place = 1)"""
 
+
+SNAPSHOTS = snapshots("snapshot_url DESC")
+SNAPSHOTS_BY_CONTENT = snapshots("content_hash DESC, snapshot_url DESC")
+
 JOBS = f"""{HOSTS},
 jobs AS (
   SELECT j.*, hosts.source_id FROM (
