@@ -57,3 +57,10 @@ def test_raw_html_keys_choose_among_the_contents_of_all_pages(spark, tmp_path):
     found = QUERIES["raw_html_keys"](spark, str(tmp_path))
     assert sorted(r["content_hash"] for r in found.collect()) == sorted(v for url, v in hashes.items() if url != "https://i/b")
     assert compare.spark_rows(found) == _own(tmp_path, "raw_html_keys")
+
+
+def test_fetch_join_chooses_among_the_contents_of_all_pages(spark, tmp_path):
+    hashes = _contested(spark, tmp_path)
+    found = QUERIES["fetch_join"](spark, str(tmp_path))
+    assert {r["url"]: r["content_hash"] for r in found.collect()} == hashes
+    assert compare.spark_rows(found) == _own(tmp_path, "fetch_join")
