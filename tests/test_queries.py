@@ -64,3 +64,10 @@ def test_fetch_join_chooses_among_the_contents_of_all_pages(spark, tmp_path):
     found = QUERIES["fetch_join"](spark, str(tmp_path))
     assert {r["url"]: r["content_hash"] for r in found.collect()} == hashes
     assert compare.spark_rows(found) == _own(tmp_path, "fetch_join")
+
+
+def test_fetch_outcomes_choose_among_the_contents_of_all_pages(spark, tmp_path):
+    _contested(spark, tmp_path)
+    found = QUERIES["fetch_outcomes"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [("h", "ok", 2), ("i", "denied", 1)]
+    assert compare.spark_rows(found) == _own(tmp_path, "fetch_outcomes")
