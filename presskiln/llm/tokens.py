@@ -7,6 +7,7 @@ text, which each class states for its vocabulary, so a cache of chunks gives the
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -14,11 +15,13 @@ from presskiln.llm.common import KEPT, in_pieces
 
 # Chunks of each of two generations of the cache: the older one goes when the newer is full. Longer
 # chunks are not kept, so a generation has at most so many bytes.
-GENERATION, LONGEST = 300_000, 128
+GENERATION, LONGEST = 200_000, 128
 # Characters of text whose chunks are looked up together.
-PIECE_CHARS = 4 << 20
+PIECE_CHARS = 2 << 20
 _ENCODERS = KEPT["encoders"]
 STOPS = frozenset(",.")
+# Byte-level form of the second byte of Latin-1 letters, as a translation of Latin-1 characters.
+_BYTE_LEVEL = {b: 0x122 + b - 0x80 for b in range(0x80, 0xA1)} | {0xAD: 0x143}
 LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
 
 
@@ -55,7 +58,8 @@ class _ChunkEncoder:
 
     Unknown chunks are joined by a special token of the vocabulary, at which the library cuts a
     text before anything else, or by nothing where they can stand ``beside`` each other; chunks
-    that hold a special token's text are encoded one by one.
+    that hold a special token's text are encoded one by one. A chunk of Latin-1 letters is one
+    pre-token that no normal form changes, so the library's model gets it as it is.
     ``joined`` unknown chunks are one call's text, the number at which a class is fastest.
     A comma or full stop behind a Latin letter or digit is a pre-token of its own at the end of a
     chunk, so such chunks are made of two known ones.
@@ -95,6 +99,13 @@ class _ChunkEncoder:
                         new.add(stem)
             else:
                 new.add(chunk)
+        plain, tokenize = set(filter(self.plain, new)), self.library.model.tokenize
+        for chunk in plain:
+            word = chunk.replace(" ", "\u0120")
+            if not chunk.isascii():
+                word = word[:1] * (word[0] == "\u0120") + chunk.lstrip(" ").encode().decode("latin-1").translate(_BYTE_LEVEL)
+            known[chunk] = array("H", [t.id for t in tokenize(word)]).tobytes()
+        new -= plain
         beside = [c for c in new if self.beside(c)]
         self._encode(beside, "")
         self._encode(list(new.difference(beside)), self.mark)
@@ -141,6 +152,7 @@ class ByteEncoder(_ChunkEncoder):
     """
 
     joined = 50
+    plain = staticmethod(re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch)
     _cut = re.compile(r"(?<=\S)(?= \S)")
 
     def beside(self, chunk: str) -> bool:
@@ -157,13 +169,23 @@ class ByteEncoder(_ChunkEncoder):
 class WordEncoder(_ChunkEncoder):
     """BPE whose pre-tokens hold no white space, which is dropped: every blank is a cut.
 
-    Normal form and lower case do not look across a blank either.
+    Normal form and lower case do not look across a blank either. A text of Latin-1 characters is in
+    normal form, and each has one lower case, so its chunks are looked up in lower case.
     """
 
     joined = 400
+    plain = staticmethod(re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch)
 
     def cut(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+        return self._lowered(text).replace("\n", " ").split(" ")
+
+    def _lowered(self, text: str) -> str:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
 
 
 def encoder(kind: type, path: str):

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import glob
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from presskiln.llm.common import filesystem, shared_folder
+from presskiln.llm import common
+from presskiln.llm.common import filesystem, releasing, shared_folder, ship
 from presskiln.llm.packing import Packer, pack
 from presskiln.llm.token_counts import count_tokens
 from presskiln.llm.token_files import TokenReader, read_token_files, write_token_files
+from presskiln.llm.tokens import ByteEncoder, WordEncoder, encoder
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -135,3 +139,40 @@ def test_empty_tables(spark):
 
 def test_files_are_in_the_shared_folder(spark):
     assert glob.glob(spark.conf.get("spark.checkpoint.dir") + "/tokens-*")
+
+
+@pytest.mark.parametrize(("kind", "path"), [(ByteEncoder, BYTES), (WordEncoder, WORDS)])
+def test_plain_words_go_to_the_model_and_have_the_library_ids(kind, path):
+    rng, letters = random.Random(3), [c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "ªµº"]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(3000)]
+    words += ["".join(rng.choices("abcdeIStn", k=rng.randint(1, 9))) for _ in range(3000)]
+    words += [w + end for w in words[:300] for end in (".", "!", "'s", "ªb", "µ", "3", "***", "İ", "ǰ", "J̌", "́")]
+    rng.shuffle(words)
+    texts = [" ".join(words[k : k + 40]) for k in range(0, len(words), 40)] + ODD[1:] + ["<|ENDOFTEXT|> a", "A\xa0B\x85C"]
+    library = Tokenizer.from_file(path)
+    expected = [np.array(library.encode(t, add_special_tokens=False).ids, np.uint16).tobytes() for t in texts]
+    assert kind(path).encode_all(texts) == expected
+    asked, found = [], kind(path)
+    found._encode = lambda chunks, mark, known=found._encode: asked.extend(chunks) or known(chunks, mark)
+    plain = [" ".join(w for w in t.split() if w.isalpha() and max(w) < "Ā" and not set(w) & set("ªµº")) for t in texts[:100]]
+    assert found.encode_all([" " + p for p in plain]) and not [c for c in asked if c]
+
+
+def test_workers_drop_what_other_kinds_of_task_kept(spark):
+    """Tasks of one worker process: an encoder kept by one, then a task of another kind."""
+    ship(spark)
+
+    def fill(batches):
+        for batch in batches:
+            encoder(WordEncoder, WORDS)
+            yield batch
+
+    def look(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common.KEPT["encoders"])] * batch.num_rows, pa.int64())], ["id"])
+
+    rows = spark.range(64, numPartitions=8)
+    for _ in range(2):
+        assert rows.mapInArrow(releasing(fill, "encoders"), "id long").count() == 64
+    assert max(r["id"] for r in rows.mapInArrow(releasing(look, "encoders"), "id long").collect()) > 0
+    assert {r["id"] for r in rows.mapInArrow(releasing(look), "id long").collect()} == {0}
