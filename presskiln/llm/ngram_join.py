@@ -282,10 +282,14 @@ def _dealt(pairs: DataFrame) -> DataFrame:
     return written(join_splittable(pairs, placed, "b", "inner").select("block", "a", "a_n", "b", "b_n", F.lit(0).cast("long").alias("found")), "dealt")
 
 
-def _counted(dealt: DataFrame, docs: DataFrame, texts: DataFrame, order, fragments: list[int]) -> DataFrame:
+def _counted(
+    dealt: DataFrame, docs: DataFrame, texts: DataFrame, order, fragments: list[int], then=lambda t: t, fields: str = "block long, counts binary"
+) -> DataFrame:
     """(block, counts): what the pairs of a block share in one of the fragments, packed.
 
-    The sets of the classes that occur are made again from one text each and cut vertically.
+    The sets of the classes that occur are made again from one text each and cut vertically. What
+    comes ``then`` is done in the same call: a Python step behind it would have each task hold
+    two workers at once.
     """
     wanted = dealt.select(F.col("a").alias("cls"), "block").union(dealt.select("b", "block")).groupBy("cls").agg(F.collect_set("block").alias("blocks"))
     wanted = written(wanted.join(texts, "cls").select("cls", "blocks", "_id", "_text"), "wanted")
@@ -334,29 +338,30 @@ def _counted(dealt: DataFrame, docs: DataFrame, texts: DataFrame, order, fragmen
                     shared[group] = upto[ends] - upto[ends - b_size[group]]
             cells.append(frame_bytes([a, a_n, b, b_n, found, shared, a_size, b_size]))
         block = pa.array([right["block"][0].as_py()] * len(cells) if cells else [], pa.int64())
-        return pa.table({"block": block, "counts": pa.array(cells, pa.binary())})
+        return then(pa.table({"block": block, "counts": pa.array(cells, pa.binary())}))
 
     segments = chosen.mapInArrow(releasing(cut), "block long, fragment long, cls long, keys binary")
     each = F.explode(F.array(*[F.lit(f).cast("long") for f in fragments])).alias("fragment")
     asked = dealt.groupBy("block").agg(F.collect_list(F.struct("a", "a_n", "b", "b_n", "found")).alias("pairs"))
     asked = asked.select("block", "pairs", each)
-    return segments.groupBy("block", "fragment").cogroup(asked.groupBy("block", "fragment")).applyInArrow(count, "block long, counts binary")
+    return segments.groupBy("block", "fragment").cogroup(asked.groupBy("block", "fragment")).applyInArrow(count, fields)
 
 
 def _unpacked(cells: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*(framed(x, ("<i8",) * 8) for x in cells), strict=True)]
 
 
-def _possible(batches):
+def _possible(table: pa.Table) -> pa.Table:
     """Pairs that may still be links: what they share in the first fragment, and all that the
     smaller rest of the two sets could add, is enough."""
-    for batch in batches:
-        for block, cell in zip(batch["block"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-            a, a_n, b, b_n, found, shared, a_size, b_size = _unpacked([cell])
-            most = found + shared + np.minimum(a_n - a_size, b_n - b_size)
-            on = np.flatnonzero(100 * most >= PERCENT * (a_n + b_n - most))
-            columns = [np.full(len(on), block), a[on], a_n[on], b[on], b_n[on], (found + shared)[on]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["block", "a", "a_n", "b", "b_n", "found"])
+    names, found_in = ("block", "a", "a_n", "b", "b_n", "found"), []
+    for block, cell in zip(table["block"].to_pylist(), table["counts"].to_pylist(), strict=True):
+        a, a_n, b, b_n, found, shared, a_size, b_size = _unpacked([cell])
+        most = found + shared + np.minimum(a_n - a_size, b_n - b_size)
+        on = np.flatnonzero(100 * most >= PERCENT * (a_n + b_n - most))
+        found_in.append((np.full(len(on), block), a[on], a_n[on], b[on], b_n[on], (found + shared)[on]))
+    columns = zip(*found_in, strict=True) if found_in else [[np.zeros(0, np.int64)]] * len(names)
+    return pa.table({n: pa.array(np.concatenate(list(c)), pa.int64()) for n, c in zip(names, columns, strict=True)})
 
 
 def _summed(table: pa.Table) -> pa.Table:
@@ -377,8 +382,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
     The first fragment goes ahead: pairs that cannot be links any more leave the others out.
     """
     fields = "block long, a long, a_n long, b long, b_n long, found long"
-    ahead = _counted(_dealt(pairs), docs, texts, order, FIRST)
-    possible = written(ahead.mapInArrow(releasing(_possible), fields), "possible")
+    possible = written(_counted(_dealt(pairs), docs, texts, order, FIRST, _possible, fields), "possible")
     counted = _counted(possible, docs, texts, order, REST)
     return written(counted.groupBy("block").applyInArrow(_summed, "a long, b long"), name)
 
