@@ -166,6 +166,15 @@ def global_order(counted: DataFrame) -> Order:
     return Order(table["shingle"].to_numpy().astype(np.uint64), table["count"].to_numpy())
 
 
+def _dealt_out(bucket: np.ndarray, buckets: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """(bucket, blob): the entries of the columns, packed for the bucket of each."""
+    turn = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[turn], np.arange(buckets + 1))
+    filled = np.flatnonzero(np.diff(cut))
+    cells = [frame_bytes([c[turn[cut[k] : cut[k + 1]]] for c in columns]) for k in filled.tolist()]
+    return pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(cells, pa.binary())], ["bucket", "blob"])
+
+
 def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
     """(bucket, blob): the prefixes of all classes of a task, dealt out by n-gram.
 
@@ -186,16 +195,8 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
             inner = at < np.array([inner_size(n) for _, n, _ in held])[owner]
             mixed = mix(place)
             bucket, key = (mixed % np.uint64(buckets)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.uint32)
-            turn = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[turn], np.arange(buckets + 1))
-            cls, n = np.array([c for c, _, _ in held], np.int64), np.array([k for _, k, _ in held], np.int32)
-            ids, cells = [], []
-            for k in np.flatnonzero(np.diff(cut)).tolist():
-                own = turn[cut[k] : cut[k + 1]]
-                who = owner[own]
-                ids.append(k)
-                cells.append(frame_bytes([key[own], cls[who], np.where(inner[own], n[who], -n[who])]))
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.binary())], ["bucket", "blob"])
+            cls, n = np.array([c for c, _, _ in held], np.int64)[owner], np.array([k for _, k, _ in held], np.int32)[owner]
+            return _dealt_out(bucket, buckets, [key, cls, np.where(inner, n, -n)])
 
         for batch in batches:
             for begin, end in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
@@ -220,7 +221,7 @@ def _groups(table: pa.Table) -> pa.Table:
 
     A group needs an ``inner`` class. Up to HUBS of these, the same in all groups as far as can
     be, are paired with the others of their group, as far as sizes and places allow a link. Rows
-    of members (grp, cls, n, inner) come first, then pairs (a, a_n, b, b_n).
+    of the members behind them (grp, cls, n, inner) come first, then pairs (a, a_n, b, b_n).
     """
     parts = [framed(b, ("<u4", "<i8", "<i4")) for b in table["blob"].to_pylist()]
     place, cls, n = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -253,7 +254,9 @@ def _groups(table: pa.Table) -> pa.Table:
     i, j = np.where(swap, j, i), np.where(swap, i, j)
     once = np.unique(np.stack([cls[i], cls[j]], 1), axis=0, return_index=True)[1] if len(i) else np.zeros(0, np.int64)
     i, j = i[once], j[once]
-    members = pa.table({"grp": np.repeat(group[one], sizes).astype(np.int64), "cls": cls[at], "n": n[at].astype(np.int64), "inner": inner[at]})
+    late = at >= start + HUBS  # no pair of an earlier one is left
+    grp, at = np.repeat(group[one], sizes)[late].astype(np.int64), at[late]
+    members = pa.table({"grp": grp, "cls": cls[at], "n": n[at].astype(np.int64), "inner": inner[at]})
     pairs = pa.table({"a": cls[i], "a_n": n[i].astype(np.int64), "b": cls[j], "b_n": n[j].astype(np.int64)})
     return pa.concat_tables([members, pairs], promote_options="default")
 
@@ -387,6 +390,72 @@ def _verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame, order, name:
     return written(counted.groupBy("block").applyInArrow(_summed, "a long, b long"), name)
 
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of groups that hold classes of several components."""
+    several = members.groupBy("grp").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("grp")
+    return join_splittable(members, several, "grp", "inner")
+
+
+def _foreign(table: pa.Table) -> pa.Table:
+    """(cls, most): how many n-grams of each class of a bucket a class of another component has."""
+    parts = [framed(b, ("<u8", "<i8", "<i8")) for b in table["blob"].to_pylist()]
+    shingle, cls, root = (np.concatenate(c) for c in zip(*parts, strict=True))
+    turn = np.lexsort((cls, shingle))
+    shingle, cls, root = shingle[turn], cls[turn], root[turn]
+    new = np.ones(len(cls), bool)  # the document of a class may come twice
+    new[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
+    shingle, cls, root = shingle[new], cls[new], root[new]
+    first = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+    several = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
+    foreign = np.repeat(several, np.diff(np.append(first, len(cls))))
+    names, at = np.unique(cls, return_inverse=True)
+    return pa.table({"cls": names, "most": np.bincount(at[foreign], minlength=len(names)).astype(np.int64)})
+
+
+def _bounded(members: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The members (grp, cls, n, inner, root) that may have a link to another component, with the
+    ``most`` n-grams that it could share.
+
+    A class shares no more with those of other components than what any of them has at all. Where
+    that is too little for the smallest set of a group, none of its pairs there is a link.
+    """
+    wanted = written(members.select("cls", "n", "root").distinct().join(texts, "cls"), "apart")
+    count, volume = wanted.agg(F.count("*"), F.sum("n")).first()
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 24 * (volume or 0) // POSTING_BYTES)
+    if count <= BROADCAST_ROWS:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
+    chosen = docs.join(wanted, ["_id", "_text"]).select("cls", "root", "text")
+
+    def cut(batches):
+        held: list[tuple[int, int, np.ndarray]] = []
+        size = 0
+
+        def flushed():
+            shingles = np.concatenate([s for _, _, s in held])
+            owner = np.repeat(np.arange(len(held)), [len(s) for _, _, s in held])
+            cls, root = (np.array([h[k] for h in held], np.int64)[owner] for k in (0, 1))
+            return _dealt_out((mix(shingles) % np.uint64(buckets)).astype(np.int64), buckets, [shingles, cls, root])
+
+        for batch in batches:
+            names, roots = batch["cls"].to_pylist(), batch["root"].to_pylist()
+            for begin, end in in_pieces(sizes_of(batch["text"]), ENCODED_BYTES):
+                for k, shingles in enumerate(shingle_sets(texts_of(batch["text"].slice(begin, end - begin))), begin):
+                    if class_of(shingles) == names[k]:  # else another text under one id and hash
+                        held.append((names[k], roots[k], shingles))
+                        size += len(shingles)
+                if size > 1 << 19:
+                    yield flushed()
+                    held, size = [], 0
+        if held:
+            yield flushed()
+
+    found = chosen.mapInArrow(releasing(cut), "bucket long, blob binary").groupBy("bucket").applyInArrow(_foreign, "cls long, most long")
+    found = written(found.groupBy("cls").agg(F.sum("most").alias("most")), "bounds")
+    low = members.groupBy("grp").agg(F.min("n").alias("low"))
+    near = join_splittable(members, low, "grp", "inner").join(found, "cls", "left").withColumn("most", F.coalesce("most", "n"))
+    return near.where((100 + PERCENT) * F.col("most") >= PERCENT * (F.col("n") + F.col("low"))).drop("low")
+
+
 def _segments(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -419,25 +488,32 @@ def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     members = groups.where("grp is not null").select("grp", "cls", "n", "inner").distinct()
     members = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = members.groupBy("grp").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("grp")
-    left = written(join_splittable(members, mixed, "grp", "inner"), "mixed")
-    one, two = (left.select("grp", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "inner", "root")]) for k in (1, 2))
+    left = written(_mixed(members), "mixed")
+    more = None if left.isEmpty() else _rest(left, pairs, keyed, texts, order)
+    if more is not None and not more.isEmpty():
+        found = components(links.unionByName(more))
+
+    least = classes.select("cls", "key").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    top = least.groupBy("root").agg(F.min("key").alias("key"))
+    named = join_splittable(least.select("cls", "root"), top, "root", "inner")
+    return rows, named.select("cls", _id_of("key._id").alias("component_id"), F.col("key._id").alias("_keep"), F.col("key._text").alias("_keep_text"))
+
+
+def _rest(left: DataFrame, pairs: DataFrame, docs: DataFrame, texts: DataFrame, order) -> DataFrame | None:
+    """Links between components among the members (grp, cls, n, inner, root) of groups, without the
+    ``pairs`` that were counted; None where no pair may be a link."""
+    left = written(_mixed(_bounded(left, docs, texts)), "mixed")
+    one, two = (left.select("grp", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "inner", "root", "most")]) for k in (1, 2))
     room = "(inner_1 or n_1 > n_2) and (inner_2 or n_2 > n_1)"
-    rest = one.join(two, "grp").where("root_1 < root_2").where(room).where(_alike("n_1", "n_2"))
+    enough = (100 + PERCENT) * F.least("most_1", "most_2") >= PERCENT * (F.col("n_1") + F.col("n_2"))
+    rest = one.join(two, "grp").where("root_1 < root_2").where(room).where(_alike("n_1", "n_2")).where(enough)
     low = F.col("cls_1") < F.col("cls_2")
     rest = rest.select(
         F.least("cls_1", "cls_2").alias("a"), F.when(low, F.col("n_1")).otherwise(F.col("n_2")).alias("a_n"),
         F.greatest("cls_1", "cls_2").alias("b"), F.when(low, F.col("n_2")).otherwise(F.col("n_1")).alias("b_n"),
     ).distinct()
     rest = written(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    more = _verified(rest, keyed, texts, order, "links")
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
-
-    least = classes.select("cls", "key").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    top = least.groupBy("root").agg(F.min("key").alias("key"))
-    named = join_splittable(least.select("cls", "root"), top, "root", "inner")
-    return rows, named.select("cls", _id_of("key._id").alias("component_id"), F.col("key._id").alias("_keep"), F.col("key._text").alias("_keep_text"))
+    return None if rest.isEmpty() else _verified(rest, docs, texts, order, "links")
 
 
 def _id_of(column: str) -> Column:
@@ -450,8 +526,9 @@ def link_documents(docs: DataFrame) -> DataFrame:
     Texts with one set of n-grams are one class and cost one. A prefix filter on the global order
     finds groups of classes that may be linked. First every class of a group is compared with
     HUBS of it; then, exactly, all pairs of a group that are still in different components: pairs
-    inside a component change nothing. So groups of any number of near copies stay linear, and no
-    component is missed. Sets are compared by 64-bit hashes of their n-grams.
+    inside a component change nothing. Of these, classes that share too little with all classes of
+    other components are left out before pairs are made. So groups of any number of near copies stay
+    linear, and no component is missed. Sets are compared by 64-bit hashes of their n-grams.
 
     Null and empty texts and texts without words have no n-grams and stay alone. Repeated rows are
     copies of each other; null doc_ids are never the least of a component, and a component of null

@@ -86,6 +86,47 @@ def test_chains_shared_passages_and_odd_rows(spark, monkeypatch):
     assert link_documents(docs.limit(0)).count() == 0
 
 
+def test_pairs_are_made_only_where_links_may_be(spark, monkeypatch):
+    """Groups with more classes than are compared with all others: near misses of one text make no
+    pairs, and links between such classes are still found."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    made = []
+
+    def counted(df, name, known=ngram_join.written):
+        table = known(df, name)
+        made.extend([table.count()] if name == "pairs" else [])
+        return table
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 1)
+
+    def variants(count, changed):
+        base = [word() for _ in range(120)]
+        out = []
+        for _ in range(count):
+            own = list(base)
+            for at in rng.sample(range(0, 120, 6), changed):
+                own[at] = word()
+            out.append(own)
+        return out
+
+    rows = [(i, " ".join(v)) for i, v in enumerate(variants(90, 5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((tuple(r) for r in link_documents(docs).collect()), key=_key) == sorted(plain_documents(rows), key=_key)
+    assert sum(made[1:]) == 0
+
+    mixed = variants(90, 4) + variants(60, 3) + variants(60, 2)
+    mixed += [v[:40] + ["other"] + v[41:] for v in rng.sample(mixed, 40)] + [v[3:] for v in rng.sample(mixed, 40)]
+    rows = [(i, " ".join(v)) for i, v in enumerate(mixed)]
+    rows += [(None, rows[3][1]), rows[5], rows[5]]
+    rng.shuffle(rows)
+    made.clear()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((tuple(r) for r in link_documents(docs).collect()), key=_key) == sorted(plain_documents(rows), key=_key)
+    assert len(made) == 2 and made[1] > 0
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 300)] + [(400, 400 + k) for k in range(1, 200)] + [(900 - k, 900) for k in range(1, 50)]
