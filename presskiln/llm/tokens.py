@@ -13,15 +13,17 @@ import numpy as np
 
 from presskiln.llm.common import KEPT, in_pieces
 
-# Chunks of each of two generations of the cache: the older one goes when the newer is full. Longer
-# chunks are not kept, so a generation has at most so many bytes.
+# Chunks of each of two generations of the cache (an encoder may state another number): the older one
+# goes when the newer is full. Longer chunks are not kept, so a generation has at most so many bytes.
 GENERATION, LONGEST = 200_000, 128
 # Characters of text whose chunks are looked up together.
 PIECE_CHARS = 2 << 20
 _ENCODERS = KEPT["encoders"]
-STOPS = frozenset(",.")
-# Byte-level form of the second byte of Latin-1 letters, as a translation of Latin-1 characters.
-_BYTE_LEVEL = {b: 0x122 + b - 0x80 for b in range(0x80, 0xA1)} | {0xAD: 0x143}
+STOPS = (",", ".")
+# Byte-level form of the bytes that Latin-1 letters and a blank before them have, as code points.
+_BYTE_LEVEL = np.arange(256, dtype="<u2")
+_BYTE_LEVEL[0x80:0xA1] = np.arange(0x122, 0x143)
+_BYTE_LEVEL[[0x20, 0xAD]] = 0x120, 0x143
 LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
 
 
@@ -65,6 +67,8 @@ class _ChunkEncoder:
     chunk, so such chunks are made of two known ones.
     """
 
+    generation = GENERATION
+
     def __init__(self, path: str):
         self.library = _library(path)
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
@@ -81,37 +85,40 @@ class _ChunkEncoder:
         return np.array(self.library.encode(chunk, add_special_tokens=False).ids, np.uint16).tobytes()
 
     def _learn(self, chunks: set[str], special: bool) -> None:
-        if len(self.known) > GENERATION:
+        if len(self.known) > self.generation:
             self.older, self.known = self.known, {}
-        known, older, new, ended = self.known, self.older, set(), []
-        for chunk in chunks.difference(known):
-            if (ids := older.get(chunk)) is not None:
-                known[chunk] = ids
-            elif special and any(s in chunk for s in self.special):
-                known[chunk] = self._one(chunk)
-            elif chunk[-1:] in STOPS and chunk[-2:-1] in LATIN:
-                ended.append(chunk)
-                stem = chunk[:-1]
-                if stem not in known:
-                    if (ids := older.get(stem)) is not None:
-                        known[stem] = ids
-                    else:
-                        new.add(stem)
-            else:
-                new.add(chunk)
-        plain, tokenize = set(filter(self.plain, new)), self.library.model.tokenize
-        for chunk in plain:
-            word = chunk.replace(" ", "\u0120")
-            if not chunk.isascii():
-                word = word[:1] * (word[0] == "\u0120") + chunk.lstrip(" ").encode().decode("latin-1").translate(_BYTE_LEVEL)
-            known[chunk] = array("H", [t.id for t in tokenize(word)]).tobytes()
-        new -= plain
+        known, new = self.known, self._recalled(chunks)
+        for chunk in [c for c in new if any(s in c for s in self.special)] if special else ():
+            known[chunk] = self._one(chunk)
+            new.discard(chunk)
+        ended = [c for c in new if c.endswith(STOPS) and c[-2:-1] in LATIN]
+        new.difference_update(ended)
+        new |= self._recalled({c[:-1] for c in ended})
+        plain = list(filter(self.plain, new))
+        new.difference_update(plain)
+        known.update(zip(plain, self._modelled(plain), strict=True))
         beside = [c for c in new if self.beside(c)]
         self._encode(beside, "")
         self._encode(list(new.difference(beside)), self.mark)
         for chunk in ended:
             known[chunk] = known[chunk[:-1]] + self.stops[chunk[-1]]
 
+    def _recalled(self, chunks: set[str]) -> set[str]:
+        """The chunks that are not known; what the older generation has becomes known."""
+        new, older = chunks.difference(self.known), self.older
+        kept = [c for c in new if c in older]
+        self.known.update(zip(kept, map(older.__getitem__, kept), strict=True))
+        new.difference_update(kept)
+        return new
+
+    def _modelled(self, words: list[str]) -> list[bytes]:
+        """Ids of plain chunks, brought into byte-level form all at once, from the library's model."""
+        if not words:
+            return []
+        codes = _BYTE_LEVEL[np.frombuffer("\n".join(words).encode(), np.uint8)]
+        tokenize = self.library.model.tokenize
+        return [array("H", [t.id for t in tokenize(w)]).tobytes() for w in codes.tobytes().decode("utf-16-le").split("\n")]
+
     def beside(self, chunk: str) -> bool:
         """Whether the chunk may stand right behind another one, its first token telling where."""
         return False
@@ -134,7 +141,7 @@ class _ChunkEncoder:
         for begin, end in in_pieces(map(len, texts), PIECE_CHARS):
             cut = [self.cut(t) for t in texts[begin:end]]
             chunks = set().union(*cut)
-            self.long = any(len(c) > LONGEST for c in chunks)
+            self.long = max(map(len, chunks), default=0) > LONGEST
             self._learn(chunks, any(s in t for s in self.special for t in texts[begin:end]))
             known = self.known.__getitem__
             out += [b"".join(map(known, chunks)) for chunks in cut]
@@ -151,7 +158,7 @@ class ByteEncoder(_ChunkEncoder):
     alone. Texts with longer runs are cut only at the blanks a pattern finds.
     """
 
-    joined = 50
+    joined, generation = 50, 300_000
     plain = staticmethod(re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch)
     _cut = re.compile(r"(?<=\S)(?= \S)")
 

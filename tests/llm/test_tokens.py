@@ -158,6 +158,24 @@ def test_plain_words_go_to_the_model_and_have_the_library_ids(kind, path):
     assert found.encode_all([" " + p for p in plain]) and not [c for c in asked if c]
 
 
+def test_byte_level_form_of_many_plain_chunks_at_once():
+    letters = [c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "ªµº"]
+    words = [lead + x + y for lead in ("", " ") for x in letters for y in letters[::7]]
+    found, library = ByteEncoder(BYTES), Tokenizer.from_file(BYTES)
+    assert found._modelled(words) == [np.array(library.encode(w, add_special_tokens=False).ids, np.uint16).tobytes() for w in words]
+    assert found._modelled([]) == []
+
+
+def test_chunks_of_the_older_generation_are_known_again():
+    found = ByteEncoder(BYTES)
+    found.generation, asked = 10, []
+    found._modelled = lambda words, known=found._modelled: asked.extend(words) or known(words)
+    texts = ["alpha beta, gamma.", " ".join(f"word{c}" for c in "abcdefghijkl"), "none", "beta gamma, alpha"]
+    expected = [Tokenizer.from_file(BYTES).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(found.encode_all([t])[0], np.uint16).tolist() for t in texts] == expected
+    assert len(asked) == len(set(asked))
+
+
 def test_workers_drop_what_other_kinds_of_task_kept(spark):
     """Tasks of one worker process: an encoder kept by one, then a task of another kind."""
     ship(spark)
