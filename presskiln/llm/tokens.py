@@ -1,15 +1,17 @@
 """Encoding whole texts with the public tokenizers, each repeated chunk of text once per task.
 
-A chunk is what stands between single blanks. A chunk encodes alone exactly as it does inside its
-text, which each class states for its vocabulary, so a cache of chunks gives the library's ids.
+A chunk is what stands between single blanks, or less. A chunk encodes alone exactly as it does inside
+its text, which each class states for its vocabulary, so a cache of chunks gives the library's ids.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from itertools import chain, pairwise
 
 import numpy as np
+import pyarrow as pa
 
 from presskiln.llm.common import KEPT, in_pieces
 
@@ -25,6 +27,10 @@ _BYTE_LEVEL = np.arange(256, dtype="<u2")
 _BYTE_LEVEL[0x80:0xA1] = np.arange(0x122, 0x143)
 _BYTE_LEVEL[[0x20, 0xAD]] = 0x120, 0x143
 LATIN = frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº" or c in "0123456789")
+# Bytes that end a Latin letter or digit: all of ASCII's, and behind 0xC3 all but two signs. And ASCII's signs.
+_ALNUM = np.array([b < 128 and chr(b) in LATIN for b in range(256)])
+_BEHIND_C3 = np.array([b >= 0x80 and b not in (0x97, 0xB7) for b in range(256)])
+_SIGN = np.array([32 < b < 127 and chr(b) not in LATIN for b in range(256)])
 
 
 class Cache(dict):
@@ -135,17 +141,29 @@ class _ChunkEncoder:
                 self.known[chunk] = data[begin:end]
                 begin = end + 2 * bool(mark)
 
+    def chunks(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The chunks of all texts in order, and how many stand before each text and in all."""
+        cut = list(map(self.cut, texts))
+        return pa.array(chain.from_iterable(cut), pa.large_string()), np.cumsum([0, *map(len, cut)])
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 16-bit integers."""
+        """Ids of each text as little-endian unsigned 16-bit integers.
+
+        The chunks of some texts are numbered, only different ones are looked up.
+        """
         out: list[bytes] = []
         for begin, end in in_pieces(map(len, texts), PIECE_CHARS):
-            cut = [self.cut(t) for t in texts[begin:end]]
-            chunks = set().union(*cut)
-            self.long = max(map(len, chunks), default=0) > LONGEST
-            self._learn(chunks, any(s in t for s in self.special for t in texts[begin:end]))
-            known = self.known.__getitem__
-            out += [b"".join(map(known, chunks)) for chunks in cut]
-            for chunk in [c for c in self.known if len(c) > LONGEST] if self.long else ():
+            some = texts[begin:end]
+            chunks, first = self.chunks(some)
+            numbered = chunks.dictionary_encode()
+            names = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+            self._learn(set(names), any(s in t for s in self.special for t in some))
+            values = pa.array(map(self.known.__getitem__, names), pa.large_binary())
+            _, places, ids = values.take(numbered.indices).buffers()
+            edges = np.frombuffer(places, np.int64)[first].tolist()
+            out += [ids[a:b].to_pybytes() if a < b else b"" for a, b in pairwise(edges)]
+            long = max(map(len, names), default=0) > LONGEST
+            for chunk in [c for c in self.known if len(c) > LONGEST] if long else ():
                 del self.known[chunk]
         return out
 
@@ -155,7 +173,9 @@ class ByteEncoder(_ChunkEncoder):
 
     A single white-space character between two others begins a pre-token: runs are the only
     pre-tokens with white space inside, a blank belongs to what follows and a line end stands
-    alone. Texts with longer runs are cut only at the blanks a pattern finds.
+    alone. No pre-token goes on from a letter or digit to a sign, so an ASCII sign behind a Latin
+    letter or digit begins one too. Texts with longer runs, other white space or a special token
+    are cut only at the blanks a pattern finds.
     """
 
     joined, generation = 50, 300_000
@@ -166,11 +186,34 @@ class ByteEncoder(_ChunkEncoder):
         """A blank, then no white space: its first pre-token, and no other, begins with a blank."""
         return chunk.rfind(" ") == 0 and len(chunk) > 1 and chunk.isprintable() and not self.blanks
 
-    def cut(self, text: str) -> list[str]:
-        runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-        if runs or not text.replace("\n", "").isprintable():  # other white space is not printable
-            return self._cut.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    def chunks(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """All texts are cut at once, by their bytes; the pattern is for those it is needed for."""
+        data = [t.encode() for t in texts]
+        begins = np.cumsum([0, *map(len, data)])
+        codes = np.frombuffer(b"".join(data), np.uint8)
+        line = codes == 10
+        white = line | (codes == 32)
+        latin = _ALNUM[codes]
+        latin[1:] |= (codes[:-1] == 0xC3) & _BEHIND_C3[codes[1:]]
+        starts = white.copy()
+        starts[1:] |= line[:-1] | latin[:-1] & _SIGN[codes[1:]]
+        starts[begins[:-1][np.diff(begins) > 0]] = True
+        runs = np.flatnonzero(white[1:] & white[:-1]) + 1
+        for k in sorted({*(np.searchsorted(begins, runs, "right") - 1).tolist(), *self._special_texts(texts)}):
+            parts = [len(c.encode()) for c in self._cut.split(texts[k])]
+            starts[begins[k] : begins[k + 1]] = False
+            starts[begins[k] + np.cumsum([0, *parts[:-1]])] = True
+        places = np.flatnonzero(starts)
+        offsets = pa.py_buffer(np.append(places, len(codes)))
+        return pa.LargeStringArray.from_buffers(len(places), offsets, pa.py_buffer(codes)), np.searchsorted(places, begins)
+
+    def _special_texts(self, texts: list[str]) -> list[int]:
+        """Places of texts that hold a special token or white space other than blanks and line ends."""
+        whole = "".join(texts)
+        if whole.replace("\n", "").isprintable() and not any(s in whole for s in self.special):
+            return []
+        odd = [not t.replace("\n", "").isprintable() or any(s in t for s in self.special) for t in texts]
+        return np.flatnonzero(odd).tolist()
 
 
 class WordEncoder(_ChunkEncoder):

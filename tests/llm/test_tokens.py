@@ -176,6 +176,35 @@ def test_chunks_of_the_older_generation_are_known_again():
     assert len(asked) == len(set(asked))
 
 
+def test_a_word_is_looked_up_once_whatever_signs_follow_it():
+    found, asked = ByteEncoder(BYTES), []
+    found._modelled = lambda words, known=found._modelled: asked.extend(words) or known(words)
+    text = "Über! über, über\u00fc*** über's über.\nüber's (über) 12, 12%% ×, ÷. ª! Ωb, Ω! é×, a²."
+    texts = ["", text, "", "two  blanks, über!", "a<|endoftext|>b, über***", "\u00a0über;", "", "über?", ""]
+    library = Tokenizer.from_file(BYTES)
+    expected = [np.array(library.encode(t, add_special_tokens=False).ids, np.uint16).tobytes() for t in texts]
+    assert found.encode_all(texts) == expected
+    assert sorted(w for w in asked if w.endswith("über")) == [" über", "über"]
+    chunks, first = found.chunks(["", "Ab cd*** cd's\n'x (y)", "a  b, c!", ""])
+    assert chunks.to_pylist() == ["Ab", " cd", "***", " cd", "'s", "\n", "'x", " (y", ")", "a  b,", " c!"]
+    assert first.tolist() == [0, 0, 9, 11, 11]
+    assert found.encode_all(["", ""]) == [b"", b""] and found.encode_all([]) == []
+
+
+def test_cut_texts_have_the_library_ids():
+    rng = random.Random(5)
+    parts = ["a", "Zé", "ß", "ñ", "×", "÷", "ª", "²", "½", "7", "42", "Ω", "中", "\u0301", "\U0001f600", "'", "'s", "'ll", "\"", ".", ",", "<", "|", ">", "_", "$%"]
+    parts += [" ", " ", " ", "\n", "word", "re", "-"]
+    odd = ["  ", "\t", "\u00a0", "\u3000", "\u200b", "\x00", "\x7f", "\u2028", "\r\n", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts + odd * (k % 3 == 0), k=rng.randint(0, 30))) for k in range(6000)]
+    texts += ["y" * 130 + ".", " " + "y" * 127 + "!", "x" * 500 + ", x"]
+    for kind, path in ((ByteEncoder, BYTES), (WordEncoder, WORDS)):
+        library, found = Tokenizer.from_file(path), kind(path)
+        expected = [np.array(library.encode(t, add_special_tokens=False).ids, np.uint16).tobytes() for t in texts]
+        assert found.encode_all(texts) == expected
+        assert max(map(len, found.known)) <= 128
+
+
 def test_workers_drop_what_other_kinds_of_task_kept(spark):
     """Tasks of one worker process: an encoder kept by one, then a task of another kind."""
     ship(spark)
